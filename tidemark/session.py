@@ -34,6 +34,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tidem
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     return builder.getOrCreate()
 
