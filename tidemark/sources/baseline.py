@@ -63,8 +63,11 @@ def import_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     if not files:
         raise FileNotFoundError(f"no export file for {table} at {path}")
     rows = records.read_records(spark, files)
-    header = rows.filter(F.col("line") == 1).select("fields").first()["fields"]
-    names = [name.removeprefix("﻿") for name in header]
+    headers = rows.filter(F.col("line") == 1).select("fields").distinct().take(2)
+    layouts = {tuple(name.removeprefix("\ufeff") for name in r["fields"]) for r in headers}
+    if len(layouts) != 1:
+        raise ValueError(f"{table} export has no single header")
+    names = list(layouts.pop())
     missing = sorted(set(HEADERS[table].values()) - set(names))
     if missing:
         raise ValueError(f"{table} export lacks columns: {missing}")
