@@ -17,14 +17,20 @@ import csv
 import functools
 import io
 import itertools
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import work_folder
 
+# The parser travels to the workers by value: executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EDGES = "source_file string, start long, ends_if_outside boolean, ends_if_inside boolean, n_if_outside long, n_if_inside long"
 PARSED = "source_file string, line long, fields array<string>, piece string, start long, bad_text boolean"
 RECORDS = ("source_file", "line", "fields", "bad_text")
@@ -32,13 +38,12 @@ _FIELD_LIMIT = 2**31 - 1  # widths are judged later, with a reason
 
 
 class _Feed:
-    """Hands text pieces to a CSV reader and remembers what a record consumed."""
+    """Hands text to a CSV reader and remembers what a record consumed."""
 
-    def __init__(self, pieces: Iterable[tuple[str, bool]], prefix: str = ""):
-        self._pieces = iter(pieces)
-        self._prefix = prefix
+    def __init__(self, text: str, inside: bool):
+        self._pieces = iter(io.StringIO(text, newline=""))
+        self._prefix = '"' if inside else ""
         self.taken: list[str] = []
-        self.bad = False
         self.drained = False
 
     def __iter__(self) -> Iterator[str]:
@@ -46,100 +51,185 @@ class _Feed:
 
     def __next__(self) -> str:
         try:
-            piece, bad = next(self._pieces)
+            piece = next(self._pieces)
         except StopIteration:
             self.drained = True
             raise
         self.taken.append(piece)
-        self.bad |= bad
         prefix, self._prefix = self._prefix, ""
         return prefix + piece
 
-    def records(self) -> Iterator[tuple[list[str], str, bool, bool]]:
-        """fields, raw text, whether its text was broken, whether it is still open."""
-        csv.field_size_limit(_FIELD_LIMIT)
-        reader = csv.reader(self)
-        for fields in reader:
-            # The reader asks for more text within a record only when a quoted
-            # field is open, so running dry there means the record continues.
-            yield fields, "".join(self.taken), self.bad, self.drained
-            self.taken, self.bad = [], False
-
-
-def _pieces(line: str, bad: bool) -> Iterator[tuple[str, bool]]:
-    """The line with its break restored, cut at any lone carriage return."""
-    if "\r" in line:
-        return ((p, bad) for p in io.StringIO(line + "\n", newline=""))
-    return iter(((line + "\n", bad),))
 
-
-def _rows(batches: Iterable[pa.RecordBatch], names: Sequence[str]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(batch.column(n).to_pylist() for n in names))
+def _records(text: str, inside: bool) -> Iterator[tuple[list[str], str, bool]]:
+    """fields, raw text, and whether the record is still open at the end of ``text``."""
+    csv.field_size_limit(_FIELD_LIMIT)
+    feed = _Feed(text, inside)
+    for fields in csv.reader(feed):
+        # The reader asks for more text within a record only when a quoted
+        # field is open, so running dry there means the record continues.
+        yield fields, "".join(feed.taken), feed.drained
+        feed.taken = []
 
 
 def _after_line(line: str, inside: bool) -> tuple[bool, int]:
-    """State after one line, and how many records it started."""
-    if '"' not in line and "\r" not in line.rstrip("\r"):
-        return inside, 0 if inside else 1
-    feed = _Feed(_pieces(line, False), '"' if inside else "")
+    """State after one line with a quote, and how many records it started."""
     count, still_open = 0, False
-    for _, _, _, still_open in feed.records():
+    for _, _, still_open in _records(line + "\n", inside):
         count += 1
     return still_open, count - inside
 
 
+def _splits(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], list[int]]]:
+    """Runs of lines of one split, and which of them need more than a plain cut.
+
+    Special are lines with a quote, a carriage return before their end, or
+    broken text; everything else is one record, or the inside of a field.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        names, starts = batch.column("source_file"), batch.column("start")
+        moved = pc.or_(pc.not_equal(starts[1:], starts[:-1]), pc.not_equal(names[1:], names[:-1]))
+        cuts = [0, *(i + 1 for i in pc.indices_nonzero(moved).to_pylist()), batch.num_rows]
+        for begin, end in itertools.pairwise(cuts):
+            run = batch.slice(begin, end - begin)
+            values = run.column("value")
+            special = pc.match_substring_regex(values, '"|\\r(?s:.)')
+            if "bad_text" in run.schema.names:
+                special = pc.or_(special, run.column("bad_text"))
+            yield run, values.to_pylist(), pc.indices_nonzero(special).to_pylist()
+
+
 def _find_edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = _rows(batches, ("source_file", "start", "value"))
-    for (source, start), group in itertools.groupby(rows, key=lambda r: r[:2]):
-        outside, inside, n_outside, n_inside = False, True, 0, 0
-        for _, _, line in group:
-            outside, started = _after_line(line, outside)
-            n_outside += started
-            inside, started = _after_line(line, inside)
-            n_inside += started
-        row = [[source], [start], [outside], [inside], [n_outside], [n_inside]]
-        names = ["source_file", "start", "ends_if_outside", "ends_if_inside", "n_if_outside", "n_if_inside"]
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in row], names=names)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.string(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.int64(), pa.bool_())
-    names = ("source_file", "line", "fields", "piece", "start", "bad_text")
-    columns = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types)], names=names)
+    names = ["source_file", "start", "ends_if_outside", "ends_if_inside", "n_if_outside", "n_if_inside"]
+
+    def row(key: tuple, states: list[bool], counts: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v]) for v in (*key, *states, *counts)], names=names)
+
+    current, states, counts = None, [False, True], [0, 0]
+    for run, values, special in _splits(batches):
+        key = (run.column("source_file")[0].as_py(), run.column("start")[0].as_py())
+        if key != current:
+            if current is not None:
+                yield row(current, states, counts)
+            current, states, counts = key, [False, True], [0, 0]
+        at = 0
+        for index in (*special, len(values)):
+            for guess in (0, 1):
+                if not states[guess]:
+                    counts[guess] += index - at
+                if index < len(values):
+                    states[guess], started = _after_line(values[index], states[guess])
+                    counts[guess] += started
+            at = index + 1
+    if current is not None:
+        yield row(current, states, counts)
+
+
+class _Split:
+    """Turns the lines of one split into records, and its cut ends into pieces."""
+
+    def __init__(self, source: str, start: int, inside: bool, line: int, split: bool):
+        self.source, self.start, self.line, self.split = source, start, line, split
+        self.open: list[str] | None = [] if inside else None
+        self.continued = inside
+        self.open_bad = False
+        self.rows: list[tuple] = []  # line, fields, piece, bad
+
+    def add(self, values: list[str], special: list[int], bad: set[int]) -> None:
+        at = 0
+        for index in (*special, len(values)):
+            if self.open is not None:
+                self.open += [v + "\n" for v in values[at:index]]
+            else:
+                for fields in csv.reader(values[at:index]):
+                    self.line += 1
+                    if fields:
+                        self.rows.append((self.line, fields, None, False))
+            if index < len(values):
+                self._special(values[index], index in bad)
+            at = index + 1
+
+    def _special(self, line: str, bad: bool) -> None:
+        text = line + "\n"
+        bad |= self.open_bad
+        if self.open is not None:
+            still_open, started = _after_line(line, True)
+            if still_open and not started:
+                self.open.append(text)
+                self.open_bad = bad
+                return
+            text = "".join(self.open) + text
+        self._take(text, bad)
+
+    def _take(self, text: str, bad: bool) -> None:
+        self.open, self.open_bad = None, False
+        for fields, raw, still_open in _records(text, self.continued):
+            if still_open:
+                self.open, self.open_bad = [raw], bad
+                return
+            self._emit(fields, raw, bad)
+
+    def _emit(self, fields: list[str], raw: str, bad: bool, cut: bool = False) -> None:
+        # A leading continuation belongs to the record opened before this split.
+        if not self.continued:
+            self.line += 1
+        if self.split and (self.continued or cut):
+            self.rows.append((self.line, None, raw, bad))
+        elif fields:
+            self.rows.append((self.line, fields, None, bad))
+        self.continued = False
+
+    def finish(self) -> None:
+        if self.open is not None:
+            text = "".join(self.open)
+            fields = next(csv.reader(io.StringIO(text, newline="")), [])
+            self._emit(fields, text, self.open_bad, cut=True)
+            self.open = None
+
+    def batch(self) -> pa.RecordBatch:
+        rows, self.rows = self.rows, []
+        lines, fields, pieces, bad = zip(*rows)
+        return _batch(self.source, self.start, lines, fields, pieces, bad)
+
+
+def _batch(source: str, start: int, lines, fields, pieces, bad) -> pa.RecordBatch:
+    columns = {
+        "source_file": pa.repeat(pa.scalar(source, pa.string()), len(lines)),
+        "line": pa.array(lines, pa.int64()),
+        "fields": pa.array(fields, pa.list_(pa.string())),
+        "piece": pa.array(pieces, pa.string()),
+        "start": pa.repeat(pa.scalar(start, pa.int64()), len(lines)),
+        "bad_text": pa.array(bad, pa.bool_()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _parse(batches: Iterable[pa.RecordBatch], split: bool = True) -> Iterator[pa.RecordBatch]:
-    names = ("source_file", "start", "inside", "base", "value", "bad_text")
-    out: list[tuple] = []
-    for (source, start, inside, line), group in itertools.groupby(_rows(batches, names), key=lambda r: r[:4]):
-        pieces = itertools.chain.from_iterable(_pieces(r[4], r[5]) for r in group)
-        # A leading continuation belongs to the record opened before this split.
-        continued = inside
-        for fields, text, bad, still_open in _Feed(pieces, '"' if inside else "").records():
-            if not continued:
-                line += 1
-            if split and (continued or still_open):
-                out.append((source, line, None, text, start, bad))
-            elif fields:
-                out.append((source, line, fields, None, start, bad))
-            continued = False
-            if len(out) >= 5000:
-                yield _batch(out)
-                out = []
-    if out:
-        yield _batch(out)
+    current: _Split | None = None
+    for run, values, special in _splits(batches):
+        first = {n: run.column(n)[0].as_py() for n in ("source_file", "start", "inside", "base")}
+        if current is None or (current.source, current.start) != (first["source_file"], first["start"]):
+            if current is not None:
+                current.finish()
+                if current.rows:
+                    yield current.batch()
+            current = _Split(*first.values(), split)
+        bad = set(pc.indices_nonzero(run.column("bad_text")).to_pylist())
+        current.add(values, special, bad)
+        if current.rows:
+            yield current.batch()
+    if current is not None:
+        current.finish()
+        if current.rows:
+            yield current.batch()
 
 
 def _parse_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for source, line, text, bad in _rows([batch], ("source_file", "line", "text", "bad_text")):
-            fields = next(csv.reader(io.StringIO(text, newline="")), [])
-            out.append((source, line, fields, None, 0, bad))
-        if out:
-            yield _batch(out)
+        for row in batch.to_pylist():
+            fields = next(csv.reader(io.StringIO(row["text"], newline="")), [])
+            yield _batch(row["source_file"], 0, [row["line"]], [fields], [None], [row["bad_text"]])
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
