@@ -13,7 +13,7 @@ from tidemark.contract import CaptureFormat
 from tidemark.functions import casts
 from tidemark.plans import layers
 from tidemark.session import work_folder
-from tidemark.sources import feed, sinks
+from tidemark.sources import capture, feed, sinks
 from tidemark.sources.warehouse import Warehouse
 
 # Spark names written files part-*, so exported snapshots carry that prefix.
@@ -113,6 +113,16 @@ class Context:
 
         return self._once("captures", write)
 
+    @cached_property
+    def captured(self) -> DataFrame:
+        """Events read from the exported captures, judged and written once."""
+        files = [(r["path"], r["size"]) for r in capture.capture_manifest(self.spark, self.captures).collect()]
+        target = self._once(
+            "captured",
+            lambda folder: capture.read_events(self.spark, self.captures, files, EXPORT).write.parquet(folder),
+        )
+        return self.spark.read.parquet(target)
+
     def new_warehouse(self) -> Warehouse:
         return Warehouse(self.spark, work_folder(self.spark, "warehouse"))
 

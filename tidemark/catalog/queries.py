@@ -795,17 +795,11 @@ def classified_captures(c: Context) -> DataFrame:
     return filled.filter("has_bytes")
 
 
-def _captured(c: Context) -> DataFrame:
-    manifest = capture.require_files(capture.capture_manifest(c.spark, c.captures))
-    files = [(r["path"], r["size"]) for r in manifest.collect()]
-    return capture.read_events(c.spark, c.captures, files, EXPORT)
-
-
 for _t in contract.TABLES:
     _register(
         f"captured_{_t}",
         f"select * exclude (_source_file) from raw_{_t}",
-        lambda c, t=_t: capture.table_events(_captured(c), t).drop("_source_file"),
+        lambda c, t=_t: capture.table_events(c.captured, t).drop("_source_file"),
     )
     _register(
         f"landed_{_t}",
@@ -817,9 +811,18 @@ for _t in contract.TABLES:
 @query("select * exclude (_source_file) from raw_customers")
 def captured_customers_split(c: Context) -> DataFrame:
     """The reader for files above one split, taken by files of every size."""
-    paths = [r["path"] for r in capture.capture_manifest(c.spark, c.captures).select("path").collect()]
-    events = capture.to_events(records.read_split_records(c.spark, paths), c.captures, EXPORT)
-    return capture.table_events(events, "customers").drop("_source_file")
+    files = [(r["path"], r["size"]) for r in capture.capture_manifest(c.spark, c.captures).collect()]
+    rows = records.read_split_records(c.spark, [path for path, _ in files], EXPORT.null_token)
+    events = capture.to_events(rows, capture.batch_kinds(c.spark, c.captures, files, EXPORT), EXPORT)
+    folder = work_folder(c.spark, "events")
+    events.write.parquet(folder)
+    return capture.table_events(c.spark.read.schema(events.schema).parquet(folder), "customers").drop("_source_file")
+
+
+def _judged(c: Context, rows: DataFrame) -> DataFrame:
+    names = ("cdc/a.csv", "other/a.csv", "initial-load/orders/part-1.csv", "initial-load/customers/part-1.csv")
+    files = [(f"/capture/{name}", 0) for name in names]
+    return capture.to_events(rows, capture.batch_kinds(c.spark, "/capture", files, EXPORT), EXPORT)
 
 
 # Planted envelope defects, by order number modulo 20.
@@ -859,7 +862,7 @@ def envelope_problems(c: Context) -> DataFrame:
     values = [key, F.col("o_custkey").cast("string"), unless("created", _9=wide), *[F.lit(at)] * 6]
     tail = [
         unless(F.concat(key, F.lit("1")), _5=F.lit("0"), _6=F.repeat(F.lit("1"), 36)),
-        unless(at, _7=F.lit(EXPORT.null_token), _8=F.lit("yesterday")),
+        unless(at, _7=F.lit(None), _8=F.lit("yesterday")),
     ]
     lead = [
         unless("U", _11=F.lit("X")),
@@ -877,7 +880,7 @@ def envelope_problems(c: Context) -> DataFrame:
     rows = c.table("orders").select(
         path.alias("source_file"), F.col("o_orderkey").alias("line"), fields.alias("fields"), F.lit(False).alias("bad_text")
     )
-    judged = capture.to_events(rows, "/capture", EXPORT)
+    judged = _judged(c, rows)
     return judged.groupBy(F.col("_problem").alias("problem")).agg(F.count(F.lit(1)).alias("bad_rows"))
 
 
@@ -893,7 +896,7 @@ def envelope_problems(c: Context) -> DataFrame:
 def event_identity(c: Context) -> DataFrame:
     number = F.col("c_custkey")
     snapshot = number % 4 != 3
-    key = F.when(number % 4 == 0, F.lit(EXPORT.null_token)).when(number % 4 == 1, F.lit("")).otherwise(number.cast("string"))
+    key = F.when(number % 4 == 0, F.lit(None)).when(number % 4 == 1, F.lit("")).otherwise(number.cast("string"))
     at = F.lit("2024-03-01 12:00:00")
     values = [key, F.lit("P1"), F.lit("00123"), F.lit("x"), F.lit("SP"), at]
     fields = F.when(snapshot, F.array(F.lit("I"), *values, F.lit(""), at)).otherwise(
@@ -903,7 +906,7 @@ def event_identity(c: Context) -> DataFrame:
     rows = c.table("customer").select(
         path.alias("source_file"), number.alias("line"), fields.alias("fields"), F.lit(False).alias("bad_text")
     )
-    return capture.to_events(rows, "/capture", EXPORT).select("_event_id", "_source_order")
+    return _judged(c, rows).select("_event_id", "_source_order")
 
 
 @query(

@@ -42,14 +42,20 @@ def current_from_raw(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return live
 
 
+def detail_marts(live: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Item and payment facts: current details without the audit time."""
+    return {
+        f"fct_{t}": live[t].select(*contract.SOURCE_COLUMNS[t]) for t in ("order_items", "order_payments")
+    }
+
+
 def marts_from(live: Mapping[str, DataFrame], customer_events: DataFrame, **skew_options) -> dict[str, DataFrame]:
     """The five marts from current state and the customer change log."""
     return {
         "dim_customers": live["customers"].select(*contract.SOURCE_COLUMNS["customers"]),
         "dim_customer_history": history.customer_history(customer_events, **skew_options),
         "fct_orders": joins.fct_orders(live["orders"], live["order_items"], live["order_payments"]),
-        "fct_order_items": live["order_items"].select(*contract.SOURCE_COLUMNS["order_items"]),
-        "fct_order_payments": live["order_payments"].select(*contract.SOURCE_COLUMNS["order_payments"]),
+        **detail_marts(live),
     }
 
 

@@ -60,9 +60,11 @@ def is_change_file(relative: Column, fmt: CaptureFormat = DEFAULT_FORMAT) -> Col
     return F.coalesce(relative.rlike(f"^{re.escape(fmt.change_dir)}/[^/]+$"), F.lit(False))
 
 
-def classify_paths(manifest: DataFrame, root: str, fmt: CaptureFormat = DEFAULT_FORMAT) -> DataFrame:
+def classify_paths(
+    manifest: DataFrame, root: str, fmt: CaptureFormat = DEFAULT_FORMAT, path: str = "path"
+) -> DataFrame:
     """Adds ``relative, snapshot_of, kind``; kind is NULL for a misplaced file."""
-    relative = relative_path(F.col("path"), root)
+    relative = relative_path(F.col(path), root)
     table = snapshot_table(F.col("relative"), fmt)
     kind = F.when(F.col("snapshot_of").isNotNull(), "snapshot").when(
         is_change_file(F.col("relative"), fmt), "changes"
@@ -72,124 +74,142 @@ def classify_paths(manifest: DataFrame, root: str, fmt: CaptureFormat = DEFAULT_
     )
 
 
-def split_envelope(rows: DataFrame, root: str, fmt: CaptureFormat = DEFAULT_FORMAT) -> DataFrame:
-    """``op, source_table, schema_label, body`` by file kind.
+def split_envelope(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Adds what the file kind says: ``op, source_table, schema_label, lead, surplus``.
 
     Change rows lead with operation, table and schema; snapshot rows with the
-    operation only, their table coming from the path.
+    operation only, their table coming from the path.  ``surplus`` is how many
+    fields follow the source columns: 2 in the current layout, 3 in the legacy
+    one, whose first extra field is ignored.
     """
-    relative = relative_path(F.col("source_file"), root)
-    placed = (
-        rows.withColumn("_relative", relative)
-        .withColumn("_snapshot_of", snapshot_table(F.col("_relative"), fmt))
-        .withColumn("_is_snapshot", F.col("_snapshot_of").isNotNull())
-        .withColumn("_placed", F.col("_is_snapshot") | is_change_file(F.col("_relative"), fmt))
-    )
-    lead = F.when(F.col("_is_snapshot"), F.lit(1)).otherwise(F.lit(3))
-    fields = F.col("fields")
-    return (
-        placed.withColumn("op", F.get(fields, F.lit(0)))
-        .withColumn("source_table", F.coalesce("_snapshot_of", F.get(fields, F.lit(1))))
-        .withColumn("schema_label", F.when(~F.col("_is_snapshot"), F.get(fields, F.lit(2))))
-        .withColumn("body", F.slice(fields, lead + 1, F.greatest(F.size(fields) - lead, F.lit(0))))
-        .drop("_relative", "_snapshot_of")
+    kinds = files.select(F.col("source_file").alias("_file"), "snapshot_of", "kind")
+    # One short row per file of the batch; a path is judged once, not per row.
+    placed = rows.join(F.broadcast(kinds), F.col("source_file") == F.col("_file"), "left")
+    fields, snapshot = F.col("fields"), F.col("snapshot_of").isNotNull()
+    tabled = placed.select(
+        *rows.columns,
+        F.col("kind").isNotNull().alias("_placed"),
+        snapshot.alias("_is_snapshot"),
+        F.get(fields, F.lit(0)).alias("op"),
+        F.coalesce("snapshot_of", F.get(fields, F.lit(1))).alias("source_table"),
+        F.when(~snapshot, F.get(fields, F.lit(2))).alias("schema_label"),
+        F.when(snapshot, F.lit(1)).otherwise(F.lit(3)).alias("lead"),
+        F.size(fields).alias("width"),
     )
+    number = F.lit(None).cast("int")
+    for index, table in enumerate(contract.TABLES):
+        number = F.when(F.col("source_table") == table, F.lit(index)).otherwise(number)
+    numbered = tabled.withColumn("_table_no", number)
+    expected = _by_table({t: len(contract.source_columns(t)) for t in contract.TABLES})
+    return numbered.withColumn("surplus", F.col("width") - F.col("lead") - expected)
 
 
-def _by_table(values: dict[str, Column]) -> Column:
-    chosen = F.lit(None)
+def _by_table(values: dict[str, int]) -> Column:
+    chosen = F.lit(None).cast("int")
     for table, value in values.items():
-        chosen = F.when(F.col("source_table") == table, value).otherwise(chosen)
+        chosen = F.when(F.col("_table_no") == contract.TABLES.index(table), F.lit(value)).otherwise(chosen)
     return chosen
 
 
-def normalize_layout(rows: DataFrame, fmt: CaptureFormat = DEFAULT_FORMAT) -> DataFrame:
-    """``values, sequence, commit_text`` from the current or the legacy layout.
+def normalize_layout(rows: DataFrame) -> DataFrame:
+    """Named source columns, ``sequence`` and ``commit_text`` from either layout.
 
-    The legacy layout has one more field before the last two; it is ignored.
+    Every source column of every table is present and a row fills its own.
     """
-    body = F.col("body")
-    expected = _by_table({t: F.lit(len(contract.source_columns(t))) for t in contract.TABLES}).cast("int")
-    return (
-        rows.withColumn("expected", expected)
-        .withColumn(
-            "values",
-            F.transform(F.slice(body, 1, F.coalesce("expected", F.lit(0))), lambda v: identity.decode_null(v, fmt.null_token)),
-        )
-        .withColumn("sequence", F.try_element_at(body, F.lit(-2)))
-        .withColumn("commit_text", F.try_element_at(body, F.lit(-1)))
+    fields = F.col("fields")
+    columns = []
+    for column in ALL_COLUMNS:
+        homes = {
+            t: contract.source_columns(t).index(column)
+            for t in contract.TABLES
+            if column in contract.source_columns(t)
+        }
+        columns.append(F.get(fields, F.col("lead") + _by_table(homes)).alias(column))
+    return rows.select(
+        *[c for c in rows.columns if c != "fields"],
+        *columns,
+        F.get(fields, F.col("lead")).alias("_key"),
+        F.get(fields, F.col("width") - 2).alias("sequence"),
+        F.get(fields, F.col("width") - 1).alias("commit_text"),
     )
 
 
 def problem(fmt: CaptureFormat = DEFAULT_FORMAT) -> Column:
     """Why a row cannot be accepted, NULL when it can; one bad row rejects its file."""
-    snapshot, op = F.col("_is_snapshot"), F.col("op")
-    surplus = F.size("body") - F.col("expected")
-    values = F.col("values")
-    commit = F.col("commit_text")
+    snapshot, op, commit = F.col("_is_snapshot"), F.col("op"), F.col("commit_text")
+    label = F.coalesce("schema_label", F.lit(""))
+    widest = F.greatest(*[F.length(c) for c in ALL_COLUMNS])
     return (
         F.when(~F.col("_placed"), F.lit("unexpected capture path"))
         .when(F.col("bad_text"), F.lit("text is not UTF-8"))
-        .when(~snapshot & (F.size("fields") < 3), F.lit("missing operation, table or schema"))
-        .when(~snapshot & ~F.col("schema_label").isin(*fmt.schema_labels), F.lit("unexpected schema"))
+        .when(~snapshot & (F.col("width") < 3), F.lit("missing operation, table or schema"))
+        .when(~snapshot & ~label.isin(*fmt.schema_labels), F.lit("unexpected schema"))
         .when(
-            F.col("expected").isNull() | op.isNull() | ~op.isin(*contract.OPERATIONS),
+            F.col("_table_no").isNull() | op.isNull() | ~op.isin(*contract.OPERATIONS),
             F.lit("unsupported table or operation"),
         )
-        .when(~surplus.isin(2, 3), F.lit("unexpected number of fields"))
+        .when(~F.col("surplus").isin(2, 3), F.lit("unexpected number of fields"))
         .when(snapshot & (op != "I"), F.lit("snapshots hold inserts only"))
         .when(~snapshot & ~identity.is_sequence(F.col("sequence")), F.lit("no positive change sequence"))
-        .when((commit == "") | (commit == fmt.null_token), F.lit("missing commit time"))
-        .when(casts.bad_instant(commit), F.lit("invalid commit time"))
-        .when(
-            F.exists(values, lambda v: F.coalesce(F.length(v) > contract.SOURCE_WIDTH, F.lit(False))),
-            F.lit("source value is too wide"),
-        )
+        .when(commit.isNull() | (commit == ""), F.lit("missing commit time"))
+        .when(F.col("_commit_at").isNull(), F.lit("invalid commit time"))
+        .when(widest > contract.SOURCE_WIDTH, F.lit("source value is too wide"))
         .when(F.length("_event_id") > contract.EVENT_ID_WIDTH, F.lit("event id is too wide"))
         .when(F.length("source_file") > contract.SOURCE_FILE_WIDTH, F.lit("file name is too wide"))
     )
 
 
-def to_events(rows: DataFrame, root: str, fmt: CaptureFormat = DEFAULT_FORMAT) -> DataFrame:
+def to_events(rows: DataFrame, files: DataFrame, fmt: CaptureFormat = DEFAULT_FORMAT) -> DataFrame:
     """Events of all tables in one wide frame, with ``line`` and ``_problem``.
 
-    Every source column of every table is present; a row fills its own.
+    ``rows``: source_file, line, fields, bad_text.  ``files``: source_file,
+    snapshot_of, kind.  Plain expressions, no lambdas over arrays, keep this
+    compiled; write the result before filtering it, or the filter drags the
+    whole judgement below the projection again.
     """
-    shaped = normalize_layout(split_envelope(rows, root, fmt), fmt)
-    key = F.get("values", F.lit(0))
+    shaped = normalize_layout(split_envelope(rows, files))
     event_id = identity.event_id(
-        F.col("source_table"), F.col("_is_snapshot"), key, F.col("sequence"), F.col("source_file"), F.col("line")
+        F.col("source_table"),
+        F.col("_is_snapshot"),
+        F.col("_key"),
+        F.col("sequence"),
+        F.col("source_file"),
+        F.col("line"),
+    )
+    identified = (
+        shaped.withColumn("_event_id", event_id)
+        .withColumn("_commit_at", casts.try_instant(F.col("commit_text")))
+        .withColumn("_problem", problem(fmt))
     )
-    identified = shaped.withColumn("_event_id", event_id).withColumn("_problem", problem(fmt))
-    usable = F.col("_problem").isNull()
     order = F.when(F.col("_is_snapshot"), F.lit("0")).otherwise(F.col("sequence"))
-    columns = []
-    for column in ALL_COLUMNS:
-        homes = {
-            t: F.get("values", F.lit(contract.source_columns(t).index(column)))
-            for t in contract.TABLES
-            if column in contract.source_columns(t)
-        }
-        columns.append(_by_table(homes).cast("string").alias(column))
     return identified.select(
         "source_table",
         "line",
-        *columns,
+        *ALL_COLUMNS,
         "_event_id",
         F.col("op").alias("_op"),
-        F.when(usable, order).cast(contract.SEQUENCE_TYPE).alias("_source_order"),
-        F.when(usable, casts.try_instant(F.col("commit_text"))).alias("_commit_at"),
+        F.when(F.col("_problem").isNull(), order).cast(contract.SEQUENCE_TYPE).alias("_source_order"),
+        "_commit_at",
         "_is_snapshot",
         F.col("source_file").alias("_source_file"),
         "_problem",
     )
 
 
+def batch_kinds(
+    spark: SparkSession, root: str, files: Sequence[tuple[str, int]], fmt: CaptureFormat = DEFAULT_FORMAT
+) -> DataFrame:
+    """``source_file, snapshot_of, kind`` of a batch of listed files."""
+    names = spark.createDataFrame([(path,) for path, _ in files], "source_file string")
+    return classify_paths(names, root, fmt, "source_file")
+
+
 def read_events(
     spark: SparkSession, root: str, files: Sequence[tuple[str, int]], fmt: CaptureFormat = DEFAULT_FORMAT
 ) -> DataFrame:
     """Parsed and judged events of (path, size) capture files below ``root``."""
-    return to_events(records.read_records(spark, files), root, fmt)
+    rows = records.read_records(spark, files, fmt.null_token)
+    return to_events(rows, batch_kinds(spark, root, files, fmt), fmt)
 
 
 def table_events(events: DataFrame, table: str) -> DataFrame:

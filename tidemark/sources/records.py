@@ -129,8 +129,9 @@ def _find_edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Split:
     """Turns the lines of one split into records, and its cut ends into pieces."""
 
-    def __init__(self, source: str, start: int, inside: bool, line: int, split: bool):
-        self.source, self.start, self.line, self.split = source, start, line, split
+    def __init__(self, source: str, start: int, inside: bool, line: int, split: bool, null: str | None):
+        self.source, self.start, self.line = source, start, line
+        self.split, self.null = split, null
         self.open: list[str] | None = [] if inside else None
         self.continued = inside
         self.open_bad = False
@@ -190,9 +191,17 @@ class _Split:
     def batch(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
         lines, fields, pieces, bad = zip(*rows)
+        fields = [_decoded(f, self.null) for f in fields]
         return _batch(self.source, self.start, lines, fields, pieces, bad)
 
 
+def _decoded(fields: list[str] | None, null: str | None) -> list[str | None] | None:
+    """NULL for the token the capture writes; an empty string stays one."""
+    if fields is None or null is None or null not in fields:
+        return fields
+    return [None if value == null else value for value in fields]
+
+
 def _batch(source: str, start: int, lines, fields, pieces, bad) -> pa.RecordBatch:
     columns = {
         "source_file": pa.repeat(pa.scalar(source, pa.string()), len(lines)),
@@ -205,7 +214,9 @@ def _batch(source: str, start: int, lines, fields, pieces, bad) -> pa.RecordBatc
     return pa.RecordBatch.from_pydict(columns)
 
 
-def _parse(batches: Iterable[pa.RecordBatch], split: bool = True) -> Iterator[pa.RecordBatch]:
+def _parse(
+    batches: Iterable[pa.RecordBatch], split: bool = True, null: str | None = None
+) -> Iterator[pa.RecordBatch]:
     current: _Split | None = None
     for run, values, special in _splits(batches):
         first = {n: run.column(n)[0].as_py() for n in ("source_file", "start", "inside", "base")}
@@ -214,7 +225,7 @@ def _parse(batches: Iterable[pa.RecordBatch], split: bool = True) -> Iterator[pa
                 current.finish()
                 if current.rows:
                     yield current.batch()
-            current = _Split(*first.values(), split)
+            current = _Split(*first.values(), split, null)
         bad = set(pc.indices_nonzero(run.column("bad_text")).to_pylist())
         current.add(values, special, bad)
         if current.rows:
@@ -225,10 +236,10 @@ def _parse(batches: Iterable[pa.RecordBatch], split: bool = True) -> Iterator[pa
             yield current.batch()
 
 
-def _parse_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parse_pieces(batches: Iterable[pa.RecordBatch], null: str | None = None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
-            fields = next(csv.reader(io.StringIO(row["text"], newline="")), [])
+            fields = _decoded(next(csv.reader(io.StringIO(row["text"], newline="")), []), null)
             yield _batch(row["source_file"], 0, [row["line"]], [fields], [None], [row["bad_text"]])
 
 
@@ -265,10 +276,11 @@ def _true_starts(edges: DataFrame) -> DataFrame:
         .withColumn("_n", F.when(F.col("inside"), F.col("n_if_inside")).otherwise(F.col("n_if_outside")))
     )
     base = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    return settled.select("source_file", "start", "inside", base.alias("base"))
+    ends = F.when(F.col("inside"), F.col("ends_if_inside")).otherwise(F.col("ends_if_outside"))
+    return settled.select("source_file", "start", "inside", ends.alias("open"), base.alias("base"))
 
 
-def _joined_pieces(parsed: DataFrame) -> DataFrame:
+def _joined_pieces(parsed: DataFrame, null: str | None) -> DataFrame:
     """Records cut by split edges: one or two pieces each, rarely more."""
     pieces = parsed.filter(F.col("piece").isNotNull())
     ordered = F.array_sort(F.collect_list(F.struct("start", "piece")))
@@ -276,33 +288,40 @@ def _joined_pieces(parsed: DataFrame) -> DataFrame:
         F.array_join(F.transform(ordered, lambda p: p["piece"]), "").alias("text"),
         F.bool_or("bad_text").alias("bad_text"),
     )
-    return whole.mapInArrow(_parse_pieces, PARSED)
+    return whole.mapInArrow(functools.partial(_parse_pieces, null=null), PARSED)
 
 
-def read_split_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_split_records(spark: SparkSession, paths: Sequence[str], null: str | None = None) -> DataFrame:
     """Records of files of any size; see the module text."""
     lines = read_lines(spark, paths)
     edges = lines.select("source_file", "start", "value").mapInArrow(_find_edges, EDGES)
-    starts = _true_starts(edges).select(
-        F.col("source_file").alias("_file"), F.col("start").alias("_start"), "inside", "base"
+    # A hundred bytes per split (1e-6 of the text), kept as a table so that the
+    # first pass runs once.
+    folder = work_folder(spark, "splits")
+    found = _true_starts(edges).select(
+        F.col("source_file").alias("_file"), F.col("start").alias("_start"), "inside", "open", "base"
     )
-    # About a hundred bytes per split (1e-6 of the text), and a broadcast join
-    # leaves each split's lines in order.
+    found.write.parquet(folder)
+    starts = spark.read.schema(found.schema).parquet(folder)
+    # A broadcast join leaves each split's lines in order.
     at = (F.col("source_file") == F.col("_file")) & (F.col("start") == F.col("_start"))
     placed = lines.join(F.broadcast(starts), at, "left")
     known = F.when(F.col("base").isNull(), F.raise_error(F.lit("file splits changed while reading; run again")))
     placed = placed.withColumn("base", known.otherwise(F.col("base")))
     columns = ("source_file", "start", "inside", "base", "value", "bad_text")
-    # Written once: whole records and pieces are both read from it, and a lost
-    # executor costs a file read instead of another parse.
+    parse = functools.partial(_parse, split=True, null=null)
+    parsed = placed.select(*columns).mapInArrow(parse, PARSED)
+    if starts.filter("inside or open").isEmpty():
+        return parsed.select(*RECORDS)  # no split begins or ends inside a field
+    # Written once: whole records and pieces are both read from it.
     folder = work_folder(spark, "records")
-    placed.select(*columns).mapInArrow(_parse, PARSED).write.parquet(folder)
+    parsed.write.parquet(folder)
     parsed = spark.read.schema(PARSED).parquet(folder)
     complete = parsed.filter(F.col("fields").isNotNull())
-    return complete.unionByName(_joined_pieces(parsed)).select(*RECORDS)
+    return complete.unionByName(_joined_pieces(parsed, null)).select(*RECORDS)
 
 
-def read_whole_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def read_whole_records(spark: SparkSession, paths: Sequence[str], null: str | None = None) -> DataFrame:
     """Records of files small enough never to be split."""
     lines = read_lines(spark, paths)
     outside: Column = F.lit(False)
@@ -310,7 +329,7 @@ def read_whole_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         "source_file", "start", outside.alias("inside"), F.lit(0).cast("long").alias("base"), "value", "bad_text"
     )
     # Nothing is cut: an open quote at the end of a file ends its last record.
-    parsed = placed.mapInArrow(functools.partial(_parse, split=False), PARSED)
+    parsed = placed.mapInArrow(functools.partial(_parse, split=False, null=null), PARSED)
     return parsed.select(*RECORDS)
 
 
@@ -329,10 +348,12 @@ def single_split_bytes(spark: SparkSession) -> int:
     )
 
 
-def read_records(spark: SparkSession, files: Sequence[tuple[str, int]]) -> DataFrame:
+def read_records(
+    spark: SparkSession, files: Sequence[tuple[str, int]], null: str | None = None
+) -> DataFrame:
     """``source_file, line, fields, bad_text`` of the given (path, size) files.
 
-    ``line`` counts records from 1, blank ones included, but blank records yield
+    Fields equal to ``null`` become NULL.  ``line`` counts records from 1, blank ones included, but blank records yield
     no row.
     """
     limit = single_split_bytes(spark)
@@ -340,9 +361,9 @@ def read_records(spark: SparkSession, files: Sequence[tuple[str, int]]) -> DataF
     large = [path for path, size in files if size > limit]
     parts = []
     if small:
-        parts.append(read_whole_records(spark, small))
+        parts.append(read_whole_records(spark, small, null))
     if large:
-        parts.append(read_split_records(spark, large))
+        parts.append(read_split_records(spark, large, null))
     if not parts:
         raise ValueError("no files to read")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
