@@ -15,6 +15,9 @@ from tidemark.session import local_session  # noqa: E402
 def spark():
     session = local_session(4, 4, "tidemark-tests")
     session.sparkContext.setLogLevel("ERROR")
+    # Tests move a handful of rows: compiling each plan would take most of the time.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import contract
-from tidemark.functions import casts
+from tidemark.functions import casts, identity
 from tidemark.operators import compare, joins, profiles
 
 
@@ -99,8 +99,7 @@ def order_totals_mismatches(orders: DataFrame, items: DataFrame, payments: DataF
 
 def check_row_key(df: DataFrame, key: str, parent: str, part: str) -> DataFrame:
     """Rows whose derived key is not ``parent:part``."""
-    derived = F.concat(F.col(parent), F.lit(":"), F.col(part).cast("string"))
-    return df.filter(F.col(key) != derived)
+    return df.filter(F.col(key) != identity.row_key(F.col(parent), F.col(part)))
 
 
 def check_pair_unique(df: DataFrame, *columns: str) -> DataFrame:
