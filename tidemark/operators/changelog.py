@@ -31,10 +31,11 @@ def latest_per_key(events: DataFrame, key: str) -> DataFrame:
     """The newest event of each key, deletions included.
 
     ``_source_file`` comes last in the order, so delivered copies may still be
-    present: the copy kept is the one ``deduplicate_events`` keeps.
+    present: the copy kept is the one ``deduplicate_events`` keeps.  Copies left
+    equal by these three are the same event; ordering by more columns would
+    only force all of them through the shuffle.
     """
     order = [F.desc("_source_order"), F.desc("_event_id"), F.asc("_source_file")]
-    order += _tie_breakers(events, (key, "_source_order", "_event_id", "_source_file"))
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return events.withColumn("_state", rank).filter(F.col("_state") == 1).drop("_state")
 

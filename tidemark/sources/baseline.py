@@ -71,7 +71,10 @@ def import_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     missing = sorted(set(HEADERS[table].values()) - set(names))
     if missing:
         raise ValueError(f"{table} export lacks columns: {missing}")
-    body = rows.filter(F.col("line") > 1)
+    # The header's fields are blanked as well as filtered: Spark may evaluate a
+    # cast on them before, or together with, the filter.
+    data = F.col("line") > 1
+    body = rows.withColumn("fields", F.when(data, F.col("fields"))).filter(data)
     read = {
         column: identity.empty_to_null(F.get("fields", F.lit(names.index(title))))
         for column, title in HEADERS[table].items()
