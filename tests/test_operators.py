@@ -211,6 +211,19 @@ def test_orphan_keys_count_rows_and_ignore_null(spark):
     assert joins.orphans(child, "fk", parent, "pk").count() == 2
 
 
+def test_lookup_join_is_the_same_for_heavy_keys(spark):
+    facts = spark.createDataFrame([("hot", n) for n in range(20)] + [("a", 1), ("x", 2), (None, 3)], "k string, n int")
+    dimension = spark.createDataFrame([("hot", "H"), ("a", "A"), ("b", "B")], "d string, v string")
+    missing = dimension.filter("d <> 'hot'")
+    for how in ("inner", "left_anti", "left"):
+        for right in (dimension, missing):
+            plain = skew.lookup_join(facts, right, "k", "d", how)
+            heavy = skew.lookup_join(facts, right, "k", "d", how, heavy_rows=5)
+            assert rows_of(plain, "*") == rows_of(heavy, "*")
+    plan = plan_of(skew.lookup_join(facts, dimension, "k", "d", "inner", heavy_rows=5))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
 def test_details_do_not_multiply(spark):
     orders = spark.createDataFrame([("o1",), ("o2",)], "order_id string")
     for column in contract.SOURCE_COLUMNS["orders"][1:]:

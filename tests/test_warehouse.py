@@ -40,9 +40,10 @@ def test_quarantine_lands_the_good_files(store, capture_root):
     put_changes(capture_root, "b", [change("customers", CUSTOMER, 2)])
     metrics = store.land_pending(capture_root, strict=False)
     assert metrics["files_committed"] == 1 and metrics["input_I"] == 1
-    _, rejected = store.land([(r["path"], r["size"]) for r in store.pending(
-        warehouse.capture.capture_manifest(store.spark, capture_root)).collect()], capture_root, strict=False)
-    assert [(r["line"], r["problem"]) for r in rejected.collect()] == [(1, "no positive change sequence")]
+    waiting = store.pending(warehouse.capture.capture_manifest(store.spark, capture_root)).collect()
+    landing = store.land([(r["path"], r["size"]) for r in waiting], capture_root, strict=False)
+    assert landing.load_id is None and landing.metrics == {}
+    assert [(line, text) for _, line, text in landing.rejected] == [(1, "no positive change sequence")]
 
 
 def test_load_without_ledger_rows_is_invisible(store, capture_root):

@@ -341,7 +341,17 @@ def duplicate_keys(c: Context) -> DataFrame:
        from fct_orders o join dim_customers d on o.customer_id = d.customer_id"""
 )
 def orders_with_customer(c: Context) -> DataFrame:
-    return joins.orders_with_customer(c.marts["fct_orders"], c.marts["dim_customers"])
+    return joins.orders_with_customer(c.stored_marts["fct_orders"], c.stored_marts["dim_customers"])
+
+
+@query(
+    """select o.order_id, o.customer_id, d.city from fct_orders o join dim_customers d on o.customer_id = d.customer_id"""
+)
+def orders_with_customer_heavy(c: Context) -> DataFrame:
+    """The same join with every customer above ten orders treated as heavy."""
+    marts = c.stored_marts
+    joined = joins.orders_with_customer(marts["fct_orders"], marts["dim_customers"], heavy_rows=10)
+    return joined.select("order_id", "customer_id", "city")
 
 
 @query("select order_id from fct_orders where cast(order_id as bigint) % 7 = 0")
@@ -355,12 +365,12 @@ def order_totals_mismatches(c: Context) -> DataFrame:
 
 @query("select * from fct_orders where customer_id not in (select customer_id from dim_customers)")
 def orders_without_customer(c: Context) -> DataFrame:
-    return joins.orphans(c.marts["fct_orders"], "customer_id", c.marts["dim_customers"], "customer_id")
+    return joins.orphans(c.stored_marts["fct_orders"], "customer_id", c.stored_marts["dim_customers"], "customer_id")
 
 
 @query("select * from fct_order_items where order_id not in (select order_id from fct_orders)")
 def items_without_order(c: Context) -> DataFrame:
-    return joins.orphans(c.marts["fct_order_items"], "order_id", c.marts["fct_orders"], "order_id")
+    return joins.orphans(c.stored_marts["fct_order_items"], "order_id", c.stored_marts["fct_orders"], "order_id")
 
 
 @query(

@@ -39,24 +39,27 @@ def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
     )
 
 
-def orders_with_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
+def orders_with_customer(
+    orders: DataFrame, customers: DataFrame, heavy_rows: int = skew.HEAVY_ROWS
+) -> DataFrame:
     """Every order beside its customer as of now, old orders included.
 
-    The dimension has one row per key, so when one customer owns a large share
-    of the orders AQE splits that partition and repeats one dimension row.
+    One customer may own a large share of the orders, see ``lookup_join``.
     """
     attributes = customers.select(
         F.col("customer_id").alias("_dim_customer"), *contract.SOURCE_COLUMNS["customers"][1:]
     )
-    return orders.join(attributes, F.col("customer_id") == F.col("_dim_customer")).drop("_dim_customer")
+    joined = skew.lookup_join(orders, attributes, "customer_id", "_dim_customer", "inner", heavy_rows)
+    return joined.drop("_dim_customer")
 
 
-def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+def orphans(
+    child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str, heavy_rows: int = skew.HEAVY_ROWS
+) -> DataFrame:
     """Child rows whose non-null reference has no parent."""
     keys = parent.select(F.col(parent_key).alias("_parent_key"))
-    return child.filter(F.col(foreign_key).isNotNull()).join(
-        keys, F.col(foreign_key) == F.col("_parent_key"), "left_anti"
-    )
+    referring = child.filter(F.col(foreign_key).isNotNull())
+    return skew.lookup_join(referring, keys, foreign_key, "_parent_key", "left_anti", heavy_rows)
 
 
 def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
@@ -65,8 +68,11 @@ def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_ke
     Child keys are counted before the join, so a key that half of the children
     share travels as one row.
     """
-    counted = child.groupBy(foreign_key).agg(F.count(F.lit(1)).alias("child_rows"))
-    return orphans(counted, foreign_key, parent, parent_key)
+    counted = child.filter(F.col(foreign_key).isNotNull()).groupBy(foreign_key)
+    keys = parent.select(F.col(parent_key).alias("_parent_key"))
+    return counted.agg(F.count(F.lit(1)).alias("child_rows")).join(
+        keys, F.col(foreign_key) == F.col("_parent_key"), "left_anti"
+    )
 
 
 def pending_files(manifest: DataFrame, ledger: DataFrame) -> DataFrame:

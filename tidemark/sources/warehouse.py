@@ -11,8 +11,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +36,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
+@dataclass(frozen=True)
+class Landing:
+    """What one ``land`` call did; only committed files count in ``metrics``."""
+
+    load_id: str | None
+    rejected: list[tuple[str, int, str]]  # file, record number, reason
+    metrics: dict[str, int]
+
+
+def _metric() -> Column:
+    return F.when(F.col("_is_snapshot"), F.lit("snapshot_rows")).otherwise(F.concat(F.lit("input_"), F.col("_op")))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -72,26 +86,37 @@ class Warehouse:
     # landing -----------------------------------------------------------------
 
     def _written(self, load_id: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "false").parquet(self.folder(f"raw/load_id={load_id}"))
+        return self.spark.read.parquet(self.folder(f"raw/load_id={load_id}"))
 
     def _write(self, events: DataFrame, load_id: str) -> None:
         table = F.when(F.col("_problem").isNull(), F.col("source_table")).otherwise(F.lit(REJECTED))
         stored = events.withColumn("source_table", table)
         stored.write.partitionBy("source_table").parquet(self.folder(f"raw/load_id={load_id}"))
 
-    def _commit(self, files: Sequence[tuple[str, int]], load_id: str) -> DataFrame:
-        """Append ledger rows of ``files`` in one file; the load is visible after."""
-        spark = self.spark
-        names = spark.createDataFrame([(name,) for name, _ in files], "source_file string")
-        counts = self._written(load_id).groupBy("_source_file").agg(F.count(F.lit(1)).alias("_n"))
-        rows = names.join(counts, F.col("source_file") == F.col("_source_file"), "left").select(
-            "source_file",
-            F.current_timestamp().alias("loaded_at"),
-            F.coalesce("_n", F.lit(0)).alias("row_count"),
-            F.lit(load_id).alias("load_id"),
+    def _summary(self, load_id: str) -> list:
+        """Rows per file and kind, with each file's first problem: one small scan.
+
+        At most a handful of rows per file of the batch reach the driver.
+        """
+        per_file = self._written(load_id).groupBy(
+            "_source_file", _metric().alias("metric"), F.col("_problem").isNotNull().alias("bad")
         )
-        rows.coalesce(1).write.mode("append").parquet(self.folder("ledger"))
-        return self.ledger().filter(F.col("load_id") == load_id)
+        return per_file.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("line").alias("line"),
+            F.min_by("_problem", "line").alias("problem"),
+        ).collect()
+
+    def _commit(self, files: Sequence[tuple[str, int]], load_id: str, summary: list) -> None:
+        """Append ledger rows of ``files`` in one file; the load is visible after."""
+        counts = dict.fromkeys((name for name, _ in files), 0)
+        for row in summary:
+            if row["_source_file"] in counts:
+                counts[row["_source_file"]] += row["n"]
+        now = datetime.now(timezone.utc)
+        rows = [(name, now, n, load_id) for name, n in counts.items()]
+        ledger = self.spark.createDataFrame(rows, contract.LEDGER_SCHEMA)
+        ledger.coalesce(1).write.mode("append").parquet(self.folder("ledger"))
 
     def land(
         self,
@@ -99,8 +124,8 @@ class Warehouse:
         capture_root: str,
         fmt: CaptureFormat = DEFAULT_FORMAT,
         strict: bool = True,
-    ) -> tuple[str | None, DataFrame]:
-        """Land (path, size) files in one job; returns the load id and rejections.
+    ) -> Landing:
+        """Land (path, size) files in one job.
 
         A file with any bad row is rejected whole.  Strict: files before the
         first bad one in name order land, then ``RejectedFile`` is raised.
@@ -109,36 +134,30 @@ class Warehouse:
         files = sorted(files)
         load_id = uuid.uuid4().hex
         self._write(capture.read_events(self.spark, capture_root, files, fmt), load_id)
-        rejected = (
-            self._written(load_id)
-            .filter(F.col("_problem").isNotNull())
-            .groupBy(F.col("_source_file").alias("source_file"))
-            .agg(
-                F.min("line").alias("line"),
-                F.min_by("_problem", "line").alias("problem"),
-                F.count(F.lit(1)).alias("bad_rows"),
-            )
-        )
-        bad = rejected.orderBy("source_file").collect()  # at most MAX_FILES names
-        if not bad:
-            self._commit(files, load_id)
-            return load_id, rejected
-        # Rare path: copy the accepted files' rows to a load of their own.
-        first = bad[0]
-        names = {r["source_file"] for r in bad}
-        kept = [f for f in files if (f[0] < first["source_file"] if strict else f[0] not in names)]
-        accepted = None
+        summary = self._summary(load_id)
+        bad = sorted((r["_source_file"], r["line"], r["problem"]) for r in summary if r["bad"])
+        rejected = list({name: (name, line, text) for name, line, text in reversed(bad)}.values())[::-1]
+        names = {name for name, _, _ in rejected}
+        kept = files
+        if rejected:
+            kept = [f for f in files if (f[0] < rejected[0][0] if strict else f[0] not in names)]
+            # Rare path: copy the accepted files' rows to a load of their own.
+            if kept:
+                crossed, load_id = self._written(load_id), uuid.uuid4().hex
+                wanted = F.broadcast(self.spark.createDataFrame([(name,) for name, _ in kept], "_kept string"))
+                self._write(crossed.join(wanted, F.col("_source_file") == F.col("_kept"), "left_semi"), load_id)
+        metrics: dict[str, int] = {}
         if kept:
-            accepted = uuid.uuid4().hex
-            wanted = self.spark.createDataFrame([(name,) for name, _ in kept], "_kept string")
-            rows = self._written(load_id).join(
-                F.broadcast(wanted), F.col("_source_file") == F.col("_kept"), "left_semi"
-            )
-            self._write(rows, accepted)
-            self._commit(kept, accepted)
-        if strict:
-            raise RejectedFile(f"{first['source_file']}:{first['line']}: {first['problem']}")
-        return accepted, rejected
+            self._commit(kept, load_id, summary)
+            landed = {name for name, _ in kept}
+            metrics["files_committed"] = len(kept)
+            for row in summary:
+                if row["_source_file"] in landed:
+                    metrics[row["metric"]] = metrics.get(row["metric"], 0) + row["n"]
+        if rejected and strict:
+            name, line, text = rejected[0]
+            raise RejectedFile(f"{name}:{line}: {text}")
+        return Landing(load_id if kept else None, rejected, metrics)
 
     def pending(self, manifest: DataFrame) -> DataFrame:
         return joins.pending_files(manifest, self.ledger())
@@ -153,8 +172,7 @@ class Warehouse:
         """Land everything the ledger lacks, in name order, a batch at a time."""
         manifest = capture.require_files(capture.capture_manifest(self.spark, capture_root))
         listed = manifest.count()
-        known = listed - self.pending(manifest).count()
-        metrics = {"files_listed": listed, "files_already_loaded": known}
+        metrics = {"files_listed": listed, "files_already_loaded": listed - self.pending(manifest).count()}
         rejected: set[str] = set()
         while True:
             waiting = self.pending(manifest).orderBy("path")
@@ -163,11 +181,10 @@ class Warehouse:
             batch = [(r["path"], r["size"]) for r in waiting.limit(max_files).collect()]
             if not batch:
                 return metrics
-            load_id, bad = self.land(batch, capture_root, fmt, strict)
-            rejected |= {r["source_file"] for r in bad.select("source_file").collect()}
-            if load_id:
-                for name, value in load_metrics(self, load_id).items():
-                    metrics[name] = metrics.get(name, 0) + value
+            landing = self.land(batch, capture_root, fmt, strict)
+            rejected |= {name for name, _, _ in landing.rejected}
+            for name, value in landing.metrics.items():
+                metrics[name] = metrics.get(name, 0) + value
 
 
 def committed_events(warehouse: Warehouse, load_id: str) -> DataFrame:
@@ -176,19 +193,7 @@ def committed_events(warehouse: Warehouse, load_id: str) -> DataFrame:
 
 def event_metrics(events: DataFrame) -> DataFrame:
     """``metric, value``: snapshot rows and changes by operation."""
-    name = F.when(F.col("_is_snapshot"), F.lit("snapshot_rows")).otherwise(
-        F.concat(F.lit("input_"), F.col("_op"))
-    )
-    return events.groupBy(name.alias("metric")).agg(F.count(F.lit(1)).alias("value"))
-
-
-def load_metrics(warehouse: Warehouse, load_id: str) -> dict[str, int]:
-    """Counts of one committed load; a rejected or failed load counts nothing."""
-    files = warehouse.ledger().filter(F.col("load_id") == load_id).count()
-    if not files:
-        return {}
-    rows = event_metrics(warehouse._written(load_id)).collect()  # at most four rows
-    return {"files_committed": files, **{r["metric"]: r["value"] for r in rows}}
+    return events.groupBy(_metric().alias("metric")).agg(F.count(F.lit(1)).alias("value"))
 
 
 def assert_raw_schema(df: DataFrame, table: str) -> None:
