@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from changes import CUSTOMER, ITEM, NULL, ORDER, change, put_changes, put_snapshot, snapshot
+from changes import CUSTOMER, ITEM, NULL, ORDER, change, put, put_changes, put_snapshot, snapshot
 from tidemark import contract
 from tidemark.sources import warehouse
 from tidemark.sources.warehouse import RejectedFile
@@ -94,3 +94,20 @@ def test_only_committed_partitions_are_scanned(store, capture_root):
     plan = store.raw("customers")._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "load_id" in filters and "source_table" in filters
+
+
+def test_files_without_records_are_ledgered(store, capture_root):
+    put(capture_root, "cdc/blank.csv", "\n\n")
+    assert store.land_pending(capture_root)["files_committed"] == 1
+    assert [r["row_count"] for r in store.ledger().collect()] == [0]
+    assert store.raw("customers").count() == 0
+    assert store.land_pending(capture_root)["files_already_loaded"] == 1
+
+
+@pytest.mark.parametrize("name", ["with space", "50%25 off", "a=b,c", "ünï"])
+def test_odd_file_names(store, capture_root, name):
+    put_changes(capture_root, name, [change("customers", CUSTOMER, 1)])
+    assert store.land_pending(capture_root)["files_committed"] == 1
+    assert [r["row_count"] for r in store.ledger().collect()] == [1]
+    assert store.raw("customers").first()["_source_file"] == store.ledger().first()["source_file"]
+    assert store.land_pending(capture_root)["files_already_loaded"] == 1

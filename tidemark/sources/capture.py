@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import contract
 from tidemark.contract import DEFAULT_FORMAT, CaptureFormat
@@ -15,6 +16,17 @@ from tidemark.sources import records
 
 ALL_COLUMNS = tuple(dict.fromkeys(c for t in contract.TABLES for c in contract.source_columns(t)))
 
+# What ``to_events`` returns.
+EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField("source_table", T.StringType()),
+        T.StructField("line", T.LongType()),
+        *[T.StructField(c, T.StringType()) for c in ALL_COLUMNS],
+        *[T.StructField(c, contract.staged_type(c)) for c in contract.ENVELOPE],
+        T.StructField("_problem", T.StringType()),
+    ]
+)
+
 
 def capture_manifest(spark: SparkSession, root: str) -> DataFrame:
     """``path, size, modified`` of every CSV file under ``root``.

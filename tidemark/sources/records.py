@@ -245,8 +245,11 @@ def _parse_pieces(batches: Iterable[pa.RecordBatch], null: str | None = None) ->
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     text = spark.read.text(list(paths), lineSep="\n")
+    # The scan reports paths percent-encoded, listings report them plain.
+    encoded = F.col("_metadata.file_path")
+    plain = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
     return text.select(
-        F.col("_metadata.file_path").alias("source_file"),
+        F.when(encoded.contains("%"), plain).otherwise(encoded).alias("source_file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.make_valid_utf8("value").alias("value"),
         (~F.is_valid_utf8("value")).alias("bad_text"),

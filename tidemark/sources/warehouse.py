@@ -86,7 +86,8 @@ class Warehouse:
     # landing -----------------------------------------------------------------
 
     def _written(self, load_id: str) -> DataFrame:
-        return self.spark.read.parquet(self.folder(f"raw/load_id={load_id}"))
+        # An explicit schema also reads a load whose files held no records.
+        return self.spark.read.schema(capture.EVENT_SCHEMA).parquet(self.folder(f"raw/load_id={load_id}"))
 
     def _write(self, events: DataFrame, load_id: str) -> None:
         table = F.when(F.col("_problem").isNull(), F.col("source_table")).otherwise(F.lit(REJECTED))
