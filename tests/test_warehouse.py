@@ -104,7 +104,7 @@ def test_files_without_records_are_ledgered(store, capture_root):
     assert store.land_pending(capture_root)["files_already_loaded"] == 1
 
 
-@pytest.mark.parametrize("name", ["with space", "50%25 off", "a=b,c", "ünï"])
+@pytest.mark.parametrize("name", ["with space", "50%25 off", "a=b,c", "ünï+x", "a[1]{x}"])
 def test_odd_file_names(store, capture_root, name):
     put_changes(capture_root, name, [change("customers", CUSTOMER, 1)])
     assert store.land_pending(capture_root)["files_committed"] == 1

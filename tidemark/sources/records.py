@@ -17,6 +17,7 @@ import csv
 import functools
 import io
 import itertools
+import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -244,7 +245,8 @@ def _parse_pieces(batches: Iterable[pa.RecordBatch], null: str | None = None) ->
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    text = spark.read.text(list(paths), lineSep="\n")
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", path) for path in paths]  # names, not patterns
+    text = spark.read.text(literal, lineSep="\n")
     # The scan reports paths percent-encoded, listings report them plain.
     encoded = F.col("_metadata.file_path")
     plain = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
