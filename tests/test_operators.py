@@ -75,6 +75,18 @@ def test_history_equals_brute_force_on_both_routes(spark, seed):
     assert shown(lazy) == expected
 
 
+def test_history_steps_agree_for_heavy_keys(spark):
+    events = spark.createDataFrame(random_events(4), EVENT)
+    slicing = history.Slicing(heavy_rows=50, slice_rows=20, grid=200)
+    attributes = contract.CUSTOMER_ATTRIBUTES
+    plain = history.detect_changes(events, "customer_id", attributes)
+    sliced = history.detect_changes(events, "customer_id", attributes, slicing)
+    assert plain.columns == sliced.columns and compare.same_content(plain, sliced).first()["equal"]
+    bounds = history.with_bounds(plain, "customer_id")
+    cut = history.with_bounds(plain, "customer_id", slicing)
+    assert bounds.columns == cut.columns and compare.same_content(bounds, cut).first()["equal"]
+
+
 def test_slices_are_small_and_keep_the_order(spark):
     events = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise(F.lit("hot")).alias("k"),

@@ -192,6 +192,14 @@ def version_bounds(c: Context) -> DataFrame:
     return history.with_bounds(found, "customer_id").select("_event_id", *bounds)
 
 
+@query("select _event_id, customer_id, city from changes")
+def attribute_changes_sliced(c: Context) -> DataFrame:
+    """Keys above 20 events compared across slice edges."""
+    slicing = history.Slicing(heavy_rows=20, slice_rows=15, grid=1000)
+    found = history.detect_changes(_unambiguous(c), "customer_id", contract.CUSTOMER_ATTRIBUTES, slicing)
+    return found.select("_event_id", "customer_id", "city")
+
+
 @query("select _event_id, attribute_hash from hashed")
 def attribute_hash(c: Context) -> DataFrame:
     hashed = identity.attribute_hash(contract.CUSTOMER_ATTRIBUTES).alias("attribute_hash")

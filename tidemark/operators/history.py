@@ -8,6 +8,7 @@ instead and only the slice edges travel between tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,21 +48,61 @@ def drop_ambiguous_snapshots(events: DataFrame) -> DataFrame:
     return events.filter(_unambiguous(F.col("first_cdc_at")))
 
 
-def detect_changes(events: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+@dataclass(frozen=True)
+class Slicing:
+    """When a key is too big for one task, and how finely it is cut."""
+
+    heavy_rows: int = skew.HEAVY_ROWS
+    slice_rows: int = skew.SLICE_ROWS
+    grid: int = skew.GRID
+
+    def heavy(self, events: DataFrame, key: str) -> DataFrame:
+        return skew.heavy_keys(events, key, self.heavy_rows, _first_change().alias("_first_change"))
+
+    def cut(self, events: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+        return skew.order_slices(events, key, "_source_order", heavy, self.slice_rows, self.grid)
+
+
+def detect_changes(
+    events: DataFrame, key: str, attributes: Sequence[str], slicing: Slicing = Slicing()
+) -> DataFrame:
     """Events that open a version: the first of their key, or a changed one."""
+    heavy = slicing.heavy(events, key)
+    if heavy.isEmpty():
+        return _plain_changes(events, key, attributes)
+    plain = _plain_changes(skew.without_keys(events, key, heavy), key, attributes)
+    sliced = _sliced_changes(slicing.cut(events, key, heavy), attributes)
+    return plain.unionByName(sliced.select(*events.columns))
+
+
+def with_bounds(changes: DataFrame, key: str, slicing: Slicing = Slicing()) -> DataFrame:
+    """Validity of each version in time and in sequence, open at the end."""
+    heavy = slicing.heavy(changes, key)
+    if heavy.isEmpty():
+        return _plain_bounds(changes, key)
+    plain = _plain_bounds(skew.without_keys(changes, key, heavy), key)
+    sliced = _sliced_bounds(slicing.cut(changes, key, heavy))
+    return plain.unionByName(sliced.select(*plain.columns))
+
+
+def _plain_changes(events: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*ORDER)
     before = events.withColumn("_now", _state(attributes)).withColumn("_before", F.lag("_now").over(w))
     return _only_changes(before).drop("_now", "_before")
 
 
-def with_bounds(changes: DataFrame, key: str) -> DataFrame:
-    """Validity of each version in time and in sequence, open at the end."""
+def _plain_bounds(changes: DataFrame, key: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*ORDER)
+    after = F.lead(F.struct("_commit_at", "_source_order")).over(w)
+    return _bounds(changes.withColumn("_after", after)).drop("_after")
+
+
+def _bounds(rows: DataFrame) -> DataFrame:
     return (
-        changes.withColumn("observed_from", F.col("_commit_at"))
-        .withColumn("observed_to", F.lead("_commit_at").over(w))
+        rows.withColumn("observed_from", F.col("_commit_at"))
+        .withColumn("observed_to", F.col("_after._commit_at"))
         .withColumn("source_order_from", F.col("_source_order"))
-        .withColumn("source_order_to", F.lead("_source_order").over(w))
+        .withColumn("source_order_to", F.col("_after._source_order"))
     )
 
 
@@ -85,11 +126,11 @@ def _versions(bounded: DataFrame, key: str, attributes: Sequence[str], version:
     )
 
 
-def _plain_bounds(events: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+def _plain_history(events: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     w = Window.partitionBy(key).orderBy(*ORDER)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     timed = events.withColumn("first_cdc_at", _first_change().over(whole))
-    return with_bounds(detect_changes(drop_ambiguous_snapshots(timed), key, attributes), key)
+    return _plain_bounds(_plain_changes(drop_ambiguous_snapshots(timed), key, attributes), key)
 
 
 def _carry(edges: DataFrame, step) -> DataFrame:
@@ -107,30 +148,24 @@ def _join_carry(rows: DataFrame, carried: DataFrame) -> DataFrame:
     return rows.join(carried, at, "left").drop("_edge_key", "_edge_slice")
 
 
-def _sliced_bounds(
-    events: DataFrame, key: str, attributes: Sequence[str], heavy: DataFrame, slice_rows: int, grid: int
-) -> DataFrame:
-    sliced = skew.order_slices(events, key, "_source_order", heavy, slice_rows, grid)
-    rows = drop_ambiguous_snapshots(sliced).withColumn("_now", _state(attributes))
-    group = ("_heavy_key", "_slice")
-    w = Window.partitionBy(*group).orderBy(*ORDER)
-    position = F.struct(*ORDER)
+SLICE = ("_heavy_key", "_slice")
+
 
-    last = rows.groupBy(*group).agg(F.max_by("_now", position).alias("_edge"))
+def _sliced_changes(sliced: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    rows = sliced.withColumn("_now", _state(attributes))
+    last = rows.groupBy(*SLICE).agg(F.max_by("_now", F.struct(*ORDER)).alias("_edge"))
+    w = Window.partitionBy(*SLICE).orderBy(*ORDER)
     before = _join_carry(rows.withColumn("_lag", F.lag("_now").over(w)), _carry(last, F.lag))
     changes = _only_changes(before.withColumn("_before", F.coalesce("_lag", "_carry")))
-    changes = changes.drop("_lag", "_carry", "_now", "_before")
+    return changes.drop("_lag", "_carry", "_now", "_before")
 
+
+def _sliced_bounds(changes: DataFrame) -> DataFrame:
     opening = F.struct("_commit_at", "_source_order")
-    first = changes.groupBy(*group).agg(F.min_by(opening, position).alias("_edge"))
+    first = changes.groupBy(*SLICE).agg(F.min_by(opening, F.struct(*ORDER)).alias("_edge"))
+    w = Window.partitionBy(*SLICE).orderBy(*ORDER)
     after = _join_carry(changes.withColumn("_lead", F.lead(opening).over(w)), _carry(first, F.lead))
-    after = after.withColumn("_after", F.coalesce("_lead", "_carry"))
-    return (
-        after.withColumn("observed_from", F.col("_commit_at"))
-        .withColumn("observed_to", F.col("_after._commit_at"))
-        .withColumn("source_order_from", F.col("_source_order"))
-        .withColumn("source_order_to", F.col("_after._source_order"))
-    )
+    return _bounds(after.withColumn("_after", F.coalesce("_lead", "_carry"))).drop("_after", "_lead", "_carry")
 
 
 def scd2_history(
@@ -152,11 +187,13 @@ def scd2_history(
     """
     columns = [key, *attributes, "_op", "_source_order", "_event_id", "_commit_at", "_is_snapshot"]
     events = events.select(*columns)
-    heavy = skew.heavy_keys(events, key, heavy_rows, _first_change().alias("first_cdc_at"))
+    slicing = Slicing(heavy_rows, slice_rows, grid)
+    heavy = slicing.heavy(events, key)
     if probe and heavy.isEmpty():
-        return _versions(_plain_bounds(events, key, attributes), key, attributes, version)
-    plain = _plain_bounds(skew.without_keys(events, key, heavy), key, attributes)
-    sliced = _sliced_bounds(events, key, attributes, heavy, slice_rows, grid)
+        return _versions(_plain_history(events, key, attributes), key, attributes, version)
+    plain = _plain_history(skew.without_keys(events, key, heavy), key, attributes)
+    timed = slicing.cut(events, key, heavy).withColumnRenamed("_first_change", "first_cdc_at")
+    sliced = _sliced_bounds(_sliced_changes(drop_ambiguous_snapshots(timed), attributes))
     return _versions(plain, key, attributes, version).unionByName(
         _versions(sliced, key, attributes, version)
     )
