@@ -82,6 +82,11 @@ def test_history_steps_agree_for_heavy_keys(spark):
     plain = history.detect_changes(events, "customer_id", attributes)
     sliced = history.detect_changes(events, "customer_id", attributes, slicing)
     assert plain.columns == sliced.columns and compare.same_content(plain, sliced).first()["equal"]
+    timed = history.with_first_change(events, "customer_id")
+    split = history.with_first_change(events, "customer_id", slicing)
+    assert compare.same_content(timed, split).first()["equal"]
+    # NULL keys are a group of their own, as in a window.
+    assert timed.filter("customer_id is null and first_cdc_at is null").isEmpty()
     bounds = history.with_bounds(plain, "customer_id")
     cut = history.with_bounds(plain, "customer_id", slicing)
     assert bounds.columns == cut.columns and compare.same_content(bounds, cut).first()["equal"]

@@ -34,14 +34,15 @@ def _unambiguous(first_change: Column) -> Column:
     return ~F.col("_is_snapshot") | first_change.isNull() | (F.col("_commit_at") < first_change)
 
 
-def with_first_change(events: DataFrame, key: str) -> DataFrame:
+def with_first_change(events: DataFrame, key: str, slicing: Slicing | None = None) -> DataFrame:
     """Events with ``first_cdc_at``, the first change commit of their key.
 
     An aggregate joined back, not a window: partial aggregation keeps a heavy
-    key from meeting in one task, and the join can split it.
+    key from meeting in one task, and so does the join.
     """
     first = events.groupBy(F.col(key).alias("_k")).agg(_first_change().alias("first_cdc_at"))
-    return events.join(first, skew.same(F.col(key), F.col("_k")), "left").drop("_k")
+    heavy_rows = slicing.heavy_rows if slicing else skew.HEAVY_ROWS
+    return skew.lookup_join(events, first, key, "_k", "left", heavy_rows, null_safe=True).drop("_k")
 
 
 def drop_ambiguous_snapshots(events: DataFrame) -> DataFrame:

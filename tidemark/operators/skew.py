@@ -44,21 +44,23 @@ def lookup_join(
     dimension_key: str,
     how: str = "inner",
     heavy_rows: int = HEAVY_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join to a table with one row per key, whatever share of rows a key holds.
 
     AQE splits a skewed sort-merge join only when both inputs come straight from
-    a shuffle, which a windowed dimension does not.  So rows of heavy keys stay
+    a shuffle, which a windowed or aggregated dimension does not.  So rows of heavy keys stay
     where they are and meet a broadcast of just those keys' dimension rows, of
     which there are at most rows/HEAVY_ROWS; all others join by shuffle.
     """
     heavy = heavy_keys(facts, fact_key, heavy_rows)
-    match = F.col(fact_key) == F.col(dimension_key)
+    left, right = F.col(fact_key), F.col(dimension_key)
+    match = same(left, right) if null_safe else left == right
     if heavy.isEmpty():
         return facts.join(dimension, match, how)
     keys = F.broadcast(heavy.select("_heavy_key"))
-    few = dimension.join(keys, F.col(dimension_key) == F.col("_heavy_key"), "left_semi")
-    many = facts.join(keys, same(F.col(fact_key), F.col("_heavy_key")), "left_semi")
+    few = dimension.join(keys, same(right, F.col("_heavy_key")), "left_semi")
+    many = facts.join(keys, same(left, F.col("_heavy_key")), "left_semi")
     rest = without_keys(facts, fact_key, heavy)
     return rest.join(dimension, match, how).unionByName(many.join(F.broadcast(few), match, how))
 
