@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -21,7 +23,7 @@ def read(spark: SparkSession, folder: str, table: str = "documents") -> DataFram
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the folder all executors share and read back: cuts lineage and survives lost executors."""
     target = work_folder(df.sparkSession, purpose)
-    df.write.parquet(target)
+    df.write.option("compression", "zstd").parquet(target)
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
@@ -37,6 +39,14 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     return df.mapInArrow(run, schema)
 
 
+def per_worker(key: tuple, build: Callable):
+    """What ``build`` returns, kept for later tasks of the same Python worker; it must bound its own size."""
+    held = sys.modules.setdefault("tidemark_worker_state", types.ModuleType("tidemark_worker_state")).__dict__
+    if key not in held:
+        held[key] = build()
+    return held[key]
+
+
 def crc_bucket(column: str, modulus: int):
     """crc32 of the decimal text of an id, modulo ``modulus``; null ids count as text ''."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
