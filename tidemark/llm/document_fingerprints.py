@@ -124,8 +124,8 @@ def likeness(a: str, b: str) -> Column:
 
 def neighbours(queries: DataFrame, entries: DataFrame) -> DataFrame:
     """Pairs (``query``, ``fp``) of distinct fingerprints (column ``fp`` of both) within ``RADIUS`` bits, each once; ``rows`` is carried."""
-    q = hamming.posted(queries.select(F.col("fp").alias("node"), "fp"), MASKS).select("key", F.col("fp").alias("query"))
-    e = hamming.posted(entries.select(F.col("fp").alias("node"), "fp"), MASKS).select("key", "fp")
+    q = hamming.posted(queries, MASKS).select("key", F.col("fp").alias("query"))
+    e = hamming.posted(entries, MASKS)
     differ = F.col("query").bitwiseXOR(F.col("fp"))
     first = F.when(F.lit(False), -1)
     for table, mask in enumerate(MASKS):
