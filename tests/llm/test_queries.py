@@ -188,11 +188,11 @@ def test_token_files_round_trip_and_lookup(spark, folders, tmp_path):
     token_files.write(docs, target)
     wanted = token_files.lookup(spark, target, [7, 100_000_000]).collect()
     encode = token_files.encoder(token_files.vocabulary())
-    assert [r.ids for r in wanted] == [encode([r[1]])[0].tolist() for r in plain_rows() if r[0] == 7]
+    assert [r.ids for r in wanted] == [encode([r[1].encode()])[0].tolist() for r in plain_rows() if r[0] == 7]
     parts = sorted((tmp_path / "ids").glob("shard=*/*.orc"))
     ids = [i for p in parts for i in orc.ORCFile(p).read(["doc_id"])["doc_id"].to_pylist()]
     assert len(ids) == len(plain_rows())
-    assert "doc_id IN" in token_files.lookup(spark, target, [7])._jdf.queryExecution().toString()
+    assert "EqualTo(doc_id,7)" in token_files.lookup(spark, target, [7])._jdf.queryExecution().toString()
 
 
 def test_line_dedup(spark, folders):
@@ -365,3 +365,21 @@ def test_mixing_by_shuffle_is_the_same(spark, folders, monkeypatch):
     first = shown(source_mix.mixed(docs))
     monkeypatch.setattr(source_mix, "BROADCAST_SOURCES", 0)
     assert shown(source_mix.mixed(docs)) == first
+
+
+def test_token_ids_equal_encoding_whole_texts():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(token_files.vocabulary())
+    encode = token_files.encoder(token_files.vocabulary())
+    texts = [
+        "The the THE the. the, the... (the) the's don't DON'T. 'tis x's' it's's",
+        "a<|endoftext|>b <|ENDOFTEXT|> <|startoftext|>. C",
+        "12 345. 6,7 a1b2 3.14! é É. É Σας ΣΑΣ. İ ǅ",
+        "snow☃ man☃. ☃☃! \u00a0x\u3000y\u2028z \u200b. e\u0301 E\u0301.",
+        "",
+        "***oned*** !!wow!! #$% a-b_c d/e. f\\g \x1c\x85h\x0bi",
+    ]
+    for _ in range(2):  # from the library, then from what is held
+        for text, ids in zip(texts, encode([t.encode() for t in texts])):
+            assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, token_files.END_ID]
