@@ -70,20 +70,7 @@ def dim_customer_history_from_staging(c: Context) -> DataFrame:
     return history.customer_history(c.staged["customers"])
 
 
-@query(
-    """select md5(order_id || ':' || cast(_source_order as varchar)) as version_id, order_id, status,
-         _commit_at as observed_from, lead(_commit_at) over w as observed_to,
-         _source_order as source_order_from, lead(_source_order) over w as source_order_to,
-         _op = 'D' as is_deleted, _is_snapshot as is_initial_snapshot,
-         lead(_commit_at) over w is null and _op <> 'D' as is_current
-       from (select *, lag(status) over v as before, lag(_op) over v as before_op
-             from (select * from (select *, min(case when not _is_snapshot then _commit_at end)
-                       over (partition by order_id) as first_cdc_at from stg_orders)
-                   where not _is_snapshot or first_cdc_at is null or _commit_at < first_cdc_at)
-             window v as (partition by order_id order by _source_order, _event_id))
-       where before is null or before <> status or (before_op = 'D') <> (_op = 'D')
-       window w as (partition by order_id order by _source_order, _event_id)"""
-)
+@query(f"select {oracle.version_columns('order_id', 'version_id', ('status',))} from order_bounded")
 def order_status_history(c: Context) -> DataFrame:
     """The same history operator with another key and attribute."""
     return history.scd2_history(c.staged["orders"], "order_id", ["status"])
@@ -165,7 +152,7 @@ def first_change_per_key(c: Context) -> DataFrame:
     return timed.select("_event_id", "customer_id", "first_cdc_at")
 
 
-@query("select _event_id from unambiguous")
+@query("select _event_id from kept")
 def unambiguous_events(c: Context) -> DataFrame:
     timed = history.with_first_change(c.staged["customers"], "customer_id")
     return history.drop_ambiguous_snapshots(timed).select("_event_id")
@@ -182,9 +169,7 @@ def attribute_changes(c: Context) -> DataFrame:
 
 
 @query(
-    """select _event_id, _commit_at as observed_from, lead(_commit_at) over w as observed_to,
-         _source_order as source_order_from, lead(_source_order) over w as source_order_to
-       from changes window w as (partition by customer_id order by _source_order, _event_id)"""
+    "select _event_id, _commit_at as observed_from, observed_to, _source_order as source_order_from, source_order_to from bounded"
 )
 def version_bounds(c: Context) -> DataFrame:
     found = history.detect_changes(_unambiguous(c), "customer_id", contract.CUSTOMER_ATTRIBUTES)
