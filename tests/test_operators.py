@@ -134,11 +134,11 @@ def test_same_content_counts_copies_and_nulls(spark):
 
 
 @pytest.mark.parametrize("source,target,expected", [
-    ([("c1", None)], [("c1", None)], (1, 1, 0, 0, 0, None, True)),
-    ([("c1", "old")], [("c1", "new")], (1, 1, 0, 0, 1, "c1", False)),
-    ([("c1", None)], [("c1", "")], (1, 1, 0, 0, 1, "c1", False)),
-    ([("c1", "x"), ("c0", "x")], [("c1", "x")], (2, 1, 1, 0, 0, "c0", False)),
-    ([], [("c1", "x")], (0, 1, 0, 1, 0, "c1", False)),
+    ([("k1", None)], [("k1", None)], (1, 1, 0, 0, 0, None, True)),
+    ([("k1", "old")], [("k1", "new")], (1, 1, 0, 0, 1, "k1", False)),
+    ([("k1", None)], [("k1", "")], (1, 1, 0, 0, 1, "k1", False)),
+    ([("k1", "x"), ("c0", "x")], [("k1", "x")], (2, 1, 1, 0, 0, "c0", False)),
+    ([], [("k1", "x")], (0, 1, 0, 1, 0, "k1", False)),
     ([], [], (0, 0, 0, 0, 0, None, True)),
 ])
 def test_reconcile(spark, source, target, expected):
@@ -151,12 +151,12 @@ def test_reconcile(spark, source, target, expected):
 
 def test_reconcile_compares_instants(spark):
     def side(text):
-        return spark.createDataFrame([("c1", text)], "k string, t string").select("k", casts.source_instant(F.col("t")).alias("t"))
+        return spark.createDataFrame([("k1", text)], "k string, t string").select("k", casts.source_instant(F.col("t")).alias("t"))
 
     same = compare.reconcile(side("2026-01-01T00:00:00Z"), side("2026-01-01T03:00:00+03:00"), "k", ["t"])
     assert same.first()["all_fields_match"]
     changed = compare.mismatches(side("2026-01-01T00:00:00Z"), side("2026-01-01T00:00:01Z"), "k", ["t"])
-    assert [tuple(r) for r in changed.collect()] == [("c1", "changed", ["t"])]
+    assert [tuple(r) for r in changed.collect()] == [("k1", "changed", ["t"])]
 
 
 def test_state_diff_carries_the_old_image_of_a_delete(spark):
@@ -166,7 +166,7 @@ def test_state_diff_carries_the_old_image_of_a_delete(spark):
         ("D", "b", "1"), ("I", "d", None), ("U", "a", "2")]
 
 
-CURRENT = ("c1", "person1", "sao paulo", "SP", "00123")
+CURRENT = ("k1", "h77", "tandil", "BA", "07000")
 DIMENSION = "customer_id string, customer_unique_id string, city string, state string, postal_code string"
 
 
@@ -181,8 +181,8 @@ def test_history_check_sees_every_attribute_and_null_against_empty(spark):
         for old, new in ((CURRENT[index], "different"), (None, ""), ("", None)):
             current, active = list(CURRENT), list(CURRENT)
             current[index], active[index] = old, new
-            assert violations(spark, tuple(current), tuple(active)) == ["c1"]
-    for row in (CURRENT, ("c1", None, None, None, None), ("c1", "", "", "", "")):
+            assert violations(spark, tuple(current), tuple(active)) == ["k1"]
+    for row in (CURRENT, ("k1", None, None, None, None), ("k1", "", "", "", "")):
         assert violations(spark, row, row) == []
     assert violations(spark, (None, *CURRENT[1:]), (None, *CURRENT[1:])) == [None]
 
@@ -242,14 +242,14 @@ def test_lookup_join_is_the_same_for_heavy_keys(spark):
 
 
 def test_details_do_not_multiply(spark):
-    orders = spark.createDataFrame([("o1",), ("o2",)], "order_id string")
+    orders = spark.createDataFrame([("r1",), ("r2",)], "order_id string")
     for column in contract.SOURCE_COLUMNS["orders"][1:]:
         orders = orders.withColumn(column, F.lit(None).cast("string"))
-    items = spark.createDataFrame([("o1", Decimal(50), Decimal(5))] * 2, "order_id string, price decimal(14,2), freight_value decimal(14,2)")
-    payments = spark.createDataFrame([("o1", Decimal(60)), ("o1", Decimal(50))], "order_id string, payment_value decimal(14,2)")
+    items = spark.createDataFrame([("r1", Decimal(50), Decimal(5))] * 2, "order_id string, price decimal(14,2), freight_value decimal(14,2)")
+    payments = spark.createDataFrame([("r1", Decimal(60)), ("r1", Decimal(50))], "order_id string, payment_value decimal(14,2)")
     facts = joins.fct_orders(orders, items, payments)
     assert rows_of(facts, "order_id", "order_total", "payment_total", "item_count", "payment_count") == [
-        ("o1", Decimal("110.00"), Decimal("110.00"), 2, 2), ("o2", Decimal("0.00"), Decimal("0.00"), 0, 0)]
+        ("r1", Decimal("110.00"), Decimal("110.00"), 2, 2), ("r2", Decimal("0.00"), Decimal("0.00"), 0, 0)]
     assert "BroadcastNestedLoop" not in plan_of(facts) and "CartesianProduct" not in plan_of(facts)
 
 

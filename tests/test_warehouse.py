@@ -61,7 +61,7 @@ def test_files_land_in_several_batches(store, capture_root):
         put_changes(capture_root, f"f{n}", [change("customers", CUSTOMER, n + 1)])
     metrics = store.land_pending(capture_root, max_files=2)
     assert metrics["files_committed"] == 5 and metrics["input_I"] == 5
-    assert len(store.load_ids()) == 3 and store.raw("customers").count() == 5
+    assert store.loads().count() == 3 and store.raw("customers").count() == 5
 
 
 def test_metrics_by_kind(store, capture_root):

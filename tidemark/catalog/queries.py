@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -813,7 +814,28 @@ for _t in contract.TABLES:
 
 @query("select * exclude (_source_file) from raw_customers")
 def captured_customers_split(c: Context) -> DataFrame:
-    """The reader for files above one split, taken by files of every size."""
+    """The reader for files above one split, with splits so small that records are cut."""
+    with _small_splits(c.spark):
+        return _captured_split(c)
+
+
+@contextmanager
+def _small_splits(spark: SparkSession):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, str(1 << 14))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _captured_split(c: Context) -> DataFrame:
     files = [(r["path"], r["size"]) for r in capture.capture_manifest(c.spark, c.captures).collect()]
     rows = records.read_split_records(c.spark, [path for path, _ in files], EXPORT.null_token)
     events = capture.to_events(rows, capture.batch_kinds(c.spark, c.captures, files, EXPORT), EXPORT)
@@ -912,18 +934,19 @@ def event_identity(c: Context) -> DataFrame:
     return _judged(c, rows).select("_event_id", "_source_order")
 
 
-@query(
-    """select customer_id, customer_unique_id, postal_code, city, state, updated_at, _event_id, _op,
+_COPY_READY = """select customer_id, customer_unique_id, postal_code, city, state, updated_at, _event_id, _op,
          cast(_source_order as varchar) as _source_order,
          strftime(_commit_at, '%Y-%m-%dT%H:%M:%S') || case when microsecond(_commit_at) % 1000000 = 0 then ''
            else '.' || lpad(cast(microsecond(_commit_at) % 1000000 as varchar), 6, '0') end || '+00:00' as _commit_at,
          cast(_is_snapshot as varchar) as _is_snapshot, _source_file from raw_customers"""
-)
+
+
+@query(_COPY_READY)
 def copy_ready_rows(c: Context) -> DataFrame:
     return sinks.copy_ready(c.raw["customers"], "customers")
 
 
-@query("select customer_id, customer_unique_id, postal_code, city, state, updated_at, _event_id, _op, _source_file from raw_customers")
+@query(_COPY_READY)
 def copy_ready_files(c: Context) -> DataFrame:
     """Written copy-ready files, read back by the capture reader."""
     folder = sinks.write_copy_ready(c.raw["customers"], "customers", work_folder(c.spark, "sink"), EXPORT)
@@ -933,17 +956,16 @@ def copy_ready_files(c: Context) -> DataFrame:
     names = contract.raw_columns("customers")
     columns = [
         identity.decode_null(F.get("fields", F.lit(names.index(n))), EXPORT.null_token).alias(n)
-        for n in (*contract.source_columns("customers"), "_event_id", "_op", "_source_file")
+        for n in names
     ]
     return rows.select(*columns)
 
 
-@query("select cast(count(*) as bigint) as rows, cast(count(distinct _event_id) as bigint) as events from raw_order_items")
+@query("select * from typed_order_items")
 def typed_parquet(c: Context) -> DataFrame:
     folder = work_folder(c.spark, "typed")
     sinks.write_typed_parquet(c.raw["order_items"], "order_items", folder)
-    stored = c.spark.read.schema(contract.staged_schema("order_items")).parquet(folder)
-    return stored.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("_event_id").alias("events"))
+    return c.spark.read.schema(contract.staged_schema("order_items")).parquet(folder)
 
 
 @query(
@@ -963,7 +985,7 @@ def compare_formats(c: Context) -> DataFrame:
 def load_metrics(c: Context) -> DataFrame:
     store = c.landed
     return warehouse.event_metrics(
-        profiles.union_tables([warehouse.committed_events(store, i) for i in store.load_ids()])
+        profiles.union_tables([warehouse.committed_events(store, r["load_id"]) for r in store.loads().collect()])
     )
 
 
@@ -973,12 +995,76 @@ def nothing_pending_after_landing(c: Context) -> DataFrame:
     return c.landed.pending(manifest).agg(F.count(F.lit(1)).alias("pending"))
 
 
-@query("select cast(count(*) as bigint) as violations from events where event_id < 0")
+@query("select count(*) as violations, count(distinct customer_id) as keys from raw_customers where _source_order % 3 = 1")
 def raw_width_violations(c: Context) -> DataFrame:
+    """Values widened in a third of the rows are found, and nothing else."""
     for table in contract.TABLES:
         warehouse.assert_raw_schema(c.landed.raw(table), table)
-    wide = [warehouse.too_wide(c.landed.raw(t), t).select("_event_id") for t in contract.TABLES]
-    return profiles.union_tables(wide).agg(F.count(F.lit(1)).alias("violations"))
+    raw = c.landed.raw("customers")
+    wide = F.when(F.col("_source_order") % 3 == 1, F.repeat(F.lit("é"), contract.SOURCE_WIDTH + 1))
+    planted = raw.withColumn("city", F.coalesce(wide, F.repeat(F.lit("é"), contract.SOURCE_WIDTH)))
+    found = warehouse.too_wide(planted, "customers")
+    return found.agg(F.count(F.lit(1)).alias("violations"), F.countDistinct("customer_id").alias("keys"))
+
+
+_PLANTED = ("_hidden", "old", "plain", "wide", "unclosed")
+
+
+def _planted_captures(c: Context) -> str:
+    """Customer changes in five files by customer number, two of them broken, and an empty file."""
+    root = work_folder(c.spark, "planted")
+    jvm, conf = c.spark._jvm, c.spark._jsparkSession.sessionState().newHadoopConf()
+
+    def path(*parts):
+        return jvm.org.apache.hadoop.fs.Path("/".join((root, *parts)))
+
+    fs = path("cdc").getFileSystem(conf)
+    columns = contract.source_columns("customers")
+    changes = c.stored_raw["customers"].filter("not _is_snapshot and _source_file not like '%replay%'")
+    for part, name in enumerate(_PLANTED):
+        own = changes.filter(F.col("customer_id").cast("int") % 5 == part)
+        first = F.col("_source_order") == own.agg(F.min("_source_order")).first()[0]
+        city = F.when(first & F.lit(name == "wide"), F.repeat(F.lit("x"), 200_000)).otherwise(F.col("city"))
+        if name == "unclosed":  # no further quote, so that the first one stays open
+            city = F.lit("plain")
+        values = [city if n == "city" else F.col(n) for n in columns]
+        tail = [F.col("_source_order").cast("string"), F.col("updated_at")]
+        fields = [F.col("_op"), F.lit("customers"), F.lit("ecommerce"), *values, *tail]
+        quoted = [F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"')) for v in fields]
+        line = F.concat_ws(",", *[F.coalesce(v, F.lit(EXPORT.null_token)) for v in (fields if name == "unclosed" else quoted)])
+        line = F.concat(F.when(first & F.lit(name == "unclosed"), F.lit('"x')).otherwise(F.lit("")), line)
+        own.coalesce(1).sortWithinPartitions("_source_order").select(line).write.text(f"{root}/made/{name}")
+        written = fs.globStatus(path("made", name, "part-*"))[0].getPath()
+        fs.mkdirs(path("cdc"))
+        fs.rename(written, path("cdc", f"{name}.csv"))
+    fs.create(path("cdc", "empty.csv")).close()
+    fs.setTimes(path("cdc", "old.csv"), 1_000_000_000_000, -1)
+    return root
+
+
+@query(
+    """select way, file, case when file in ('wide', 'unclosed') then null else coalesce(n, 0) end as row_count,
+         case file when 'wide' then 'source value is too wide' when 'unclosed' then 'record is too long' end as reason
+       from (values (0, '_hidden'), (1, 'old'), (2, 'plain'), (3, 'wide'), (4, 'unclosed'), (5, 'empty')) f(part, file)
+         cross join (values ('batch'), ('stream')) w(way)
+         left join (select cast(customer_id as int) % 5 as part, count(*) as n from cdc_customers group by 1) using (part)"""
+)
+def accounted_captures(c: Context) -> DataFrame:
+    """Hidden, old, empty and broken files: each is in the ledger or refused with a reason, by batch and by stream."""
+    root = _planted_captures(c)
+    parts = []
+    with _small_splits(c.spark):
+        for way in ("batch", "stream"):
+            store = c.new_warehouse()
+            if way == "batch":
+                store.land_pending(f"{root}", EXPORT, strict=False)
+            else:
+                ingest.ingest_all(store, root, work_folder(c.spark, "stream"), EXPORT, strict=False)
+            name = F.regexp_extract("source_file", "([^/]*)[.]csv$", 1).alias("file")
+            none = F.lit(None).cast("string")
+            parts.append(store.ledger().select(F.lit(way).alias("way"), name, "row_count", none.alias("reason")))
+            parts.append(store.rejected().select(F.lit(way).alias("way"), name, F.lit(None).cast("long").alias("row_count"), "reason"))
+    return profiles.union_tables(parts)
 
 
 @query("select * exclude (updated_at) from cur_orders")

@@ -76,6 +76,7 @@ SEQUENCE_TYPE = T.DecimalType(35, 0)
 MONEY_TYPE = T.DecimalType(14, 2)
 TOTAL_TYPE = T.DecimalType(18, 2)
 
+# The published tables.
 MARTS = (
     "dim_customers",
     "dim_customer_history",
@@ -156,3 +157,14 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("load_id", T.StringType(), False),
     ]
 )
+
+# Why a file was refused, and in which landing; a file may be offered again.
+REJECTED_SCHEMA = T.StructType(
+    [
+        T.StructField("source_file", T.StringType(), False),
+        T.StructField("line", T.LongType(), True),
+        T.StructField("reason", T.StringType(), False),
+        T.StructField("rejected_at", T.TimestampType(), False),
+        T.StructField("run_id", T.StringType(), False),
+    ]
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark import contract
 from tidemark.contract import DEFAULT_FORMAT, CaptureFormat
 from tidemark.functions import casts, identity
+from tidemark.session import work_folder
 from tidemark.sources import records
 
 ALL_COLUMNS = tuple(dict.fromkeys(c for t in contract.TABLES for c in contract.source_columns(t)))
@@ -28,20 +30,61 @@ EVENT_SCHEMA = T.StructType(
 )
 
 
+MANIFEST = "path string, size long, modified timestamp"
+# How Hadoop shows a file status; one call shows a whole folder.
+_STATUS = re.compile(
+    r"FileStatus\{path=(?P<path>.*?); isDirectory=(?P<folder>true|false);(?: length=(?P<size>\d+);.*?)?"
+    r" modification_time=(?P<modified>\d+);",
+    re.DOTALL,
+)
+
+
 def capture_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """``path, size, modified`` of every CSV file under ``root``.
+    """``path, size, modified`` of every file under ``root`` whose name ends in .csv.
 
-    File contents are pruned from the scan; nothing but metadata is read.
+    Spark's readers pass over empty files and names that begin with ``_`` or
+    ``.``; this lists folders through the Hadoop API instead, a call each, and
+    reads no contents.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-    )
-    return listing.select(
-        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
-    )
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(top):
+        raise FileNotFoundError(root)
+    rows, folders = [], [top.toString()]
+    while folders:
+        listed = fs.listStatus(jvm.org.apache.hadoop.fs.Path(folders.pop()))
+        shown = jvm.org.apache.commons.lang3.ArrayUtils.toString(listed)
+        for found in _STATUS.finditer(shown):
+            if found["folder"] == "true":
+                folders.append(found["path"])
+            elif found["path"].endswith(".csv"):
+                modified = datetime.fromtimestamp(int(found["modified"]) / 1000, timezone.utc)
+                rows.append((found["path"], int(found["size"]), modified))
+    return spark.createDataFrame(sorted(rows), MANIFEST)
+
+
+def unseen_by_spark(path: str) -> bool:
+    """Names that Spark's readers take for hidden files."""
+    return path.rsplit("/", 1)[-1].startswith(("_", "."))
+
+
+def _readable(spark: SparkSession, files: Sequence[tuple[str, int]]) -> tuple[list[tuple[str, int]], dict[str, str]]:
+    """Files under names that Spark reads, and the true names of those copied for it."""
+    kept = [f for f in files if not unseen_by_spark(f[0])]
+    named: dict[str, str] = {}
+    hidden = [f for f in files if unseen_by_spark(f[0])]
+    if hidden:
+        jvm, folder = spark._jvm, work_folder(spark, "renamed")
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for n, (path, size) in enumerate(hidden):
+            source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}.csv")
+            there = target.getFileSystem(conf)
+            jvm.org.apache.hadoop.fs.FileUtil.copy(source.getFileSystem(conf), source, there, target, False, conf)
+            copied = there.getFileStatus(target).getPath().toString()
+            named[copied] = path
+            kept.append((copied, size))
+    return kept, named
 
 
 def require_files(manifest: DataFrame) -> DataFrame:
@@ -94,6 +137,8 @@ def split_envelope(rows: DataFrame, files: DataFrame) -> DataFrame:
     fields follow the source columns: 2 in the current layout, 3 in the legacy
     one, whose first extra field is ignored.
     """
+    if "too_long" not in rows.columns:
+        rows = rows.withColumn("too_long", F.lit(False))
     kinds = files.select(F.col("source_file").alias("_file"), "snapshot_of", "kind")
     # One short row per file of the batch; a path is judged once, not per row.
     placed = rows.join(F.broadcast(kinds), F.col("source_file") == F.col("_file"), "left")
@@ -153,6 +198,7 @@ def problem(fmt: CaptureFormat = DEFAULT_FORMAT) -> Column:
     widest = F.greatest(*[F.length(c) for c in ALL_COLUMNS])
     return (
         F.when(~F.col("_placed"), F.lit("unexpected capture path"))
+        .when(F.col("too_long"), F.lit("record is too long"))
         .when(F.col("bad_text"), F.lit("text is not UTF-8"))
         .when(~snapshot & (F.col("width") < 3), F.lit("missing operation, table or schema"))
         .when(~snapshot & ~label.isin(*fmt.schema_labels), F.lit("unexpected schema"))
@@ -220,7 +266,12 @@ def read_events(
     spark: SparkSession, root: str, files: Sequence[tuple[str, int]], fmt: CaptureFormat = DEFAULT_FORMAT
 ) -> DataFrame:
     """Parsed and judged events of (path, size) capture files below ``root``."""
-    rows = records.read_records(spark, files, fmt.null_token)
+    readable, named = _readable(spark, files)
+    rows = records.read_records(spark, readable, fmt.null_token)
+    if named:  # a row for each renamed file of the batch
+        true = spark.createDataFrame(list(named.items()), "_copy string, _true string")
+        joined = rows.join(F.broadcast(true), F.col("source_file") == F.col("_copy"), "left")
+        rows = joined.withColumn("source_file", F.coalesce("_true", "source_file")).drop("_copy", "_true")
     return to_events(rows, batch_kinds(spark, root, files, fmt), fmt)
 
 
@@ -229,16 +280,3 @@ def table_events(events: DataFrame, table: str) -> DataFrame:
     own = events.filter((F.col("source_table") == table) & F.col("_problem").isNull())
     return own.select(*contract.raw_columns(table))
 
-
-def csv_line(fields: Column, null_token: str) -> Column:
-    """One CSV record of text fields: quoted where needed, NULL as its token."""
-
-    def quoted(value: Column) -> Column:
-        doubled = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
-        return (
-            F.when(value.isNull(), F.lit(null_token))
-            .when(value.rlike('[",\\r\\n]'), doubled)
-            .otherwise(value)
-        )
-
-    return F.array_join(F.transform(fields, quoted), ",")

@@ -27,6 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark import contract
 from tidemark.session import work_folder
 
 # The parser travels to the workers by value: executors need no installed copy.
@@ -34,8 +35,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EDGES = "source_file string, start long, ends_if_outside boolean, ends_if_inside boolean, n_if_outside long, n_if_inside long"
 PARSED = "source_file string, line long, fields array<string>, piece string, start long, bad_text boolean"
-RECORDS = ("source_file", "line", "fields", "bad_text")
+RECORDS = ("source_file", "line", "fields", "bad_text", "too_long")
 _FIELD_LIMIT = 2**31 - 1  # widths are judged later, with a reason
+# Twice what the widest legal record takes with every character quoted twice: a
+# record cut by split edges is not put together beyond it.
+MAX_RECORD = 64 * contract.SOURCE_WIDTH
 
 
 class _Feed:
@@ -63,7 +67,6 @@ class _Feed:
 
 def _records(text: str, inside: bool) -> Iterator[tuple[list[str], str, bool]]:
     """fields, raw text, and whether the record is still open at the end of ``text``."""
-    csv.field_size_limit(_FIELD_LIMIT)
     feed = _Feed(text, inside)
     for fields in csv.reader(feed):
         # The reader asks for more text within a record only when a quoted
@@ -102,6 +105,7 @@ def _splits(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _find_edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    csv.field_size_limit(_FIELD_LIMIT)
     names = ["source_file", "start", "ends_if_outside", "ends_if_inside", "n_if_outside", "n_if_inside"]
 
     def row(key: tuple, states: list[bool], counts: list[int]) -> pa.RecordBatch:
@@ -177,7 +181,8 @@ class _Split:
         if not self.continued:
             self.line += 1
         if self.split and (self.continued or cut):
-            self.rows.append((self.line, None, raw, bad))
+            # Too long is too long: the rest need not travel.
+            self.rows.append((self.line, None, raw[: MAX_RECORD + 1], bad))
         elif fields:
             self.rows.append((self.line, fields, None, bad))
         self.continued = False
@@ -218,6 +223,7 @@ def _batch(source: str, start: int, lines, fields, pieces, bad) -> pa.RecordBatc
 def _parse(
     batches: Iterable[pa.RecordBatch], split: bool = True, null: str | None = None
 ) -> Iterator[pa.RecordBatch]:
+    csv.field_size_limit(_FIELD_LIMIT)
     current: _Split | None = None
     for run, values, special in _splits(batches):
         first = {n: run.column(n)[0].as_py() for n in ("source_file", "start", "inside", "base")}
@@ -238,6 +244,7 @@ def _parse(
 
 
 def _parse_pieces(batches: Iterable[pa.RecordBatch], null: str | None = None) -> Iterator[pa.RecordBatch]:
+    csv.field_size_limit(_FIELD_LIMIT)
     for batch in batches:
         for row in batch.to_pylist():
             fields = _decoded(next(csv.reader(io.StringIO(row["text"], newline="")), []), null)
@@ -286,18 +293,36 @@ def _true_starts(edges: DataFrame) -> DataFrame:
 
 
 def _joined_pieces(parsed: DataFrame, null: str | None) -> DataFrame:
-    """Records cut by split edges: one or two pieces each, rarely more."""
+    """Records cut by split edges: one or two pieces each, rarely more.
+
+    A stray quote can make the rest of a file one record of any number of
+    pieces; those are counted, not gathered, and marked too long.
+    """
     pieces = parsed.filter(F.col("piece").isNotNull())
+    record = ("source_file", "line")
+    sizes = pieces.groupBy(*record).agg(F.sum(F.length("piece")).alias("_size"), F.bool_or("bad_text").alias("_bad"))
+    fit = pieces.join(sizes.filter(F.col("_size") <= MAX_RECORD).select(*record), [*record], "left_semi")
     ordered = F.array_sort(F.collect_list(F.struct("start", "piece")))
-    whole = pieces.groupBy("source_file", "line").agg(
+    whole = fit.groupBy(*record).agg(
         F.array_join(F.transform(ordered, lambda p: p["piece"]), "").alias("text"),
         F.bool_or("bad_text").alias("bad_text"),
     )
-    return whole.mapInArrow(functools.partial(_parse_pieces, null=null), PARSED)
+    joined = whole.mapInArrow(functools.partial(_parse_pieces, null=null), PARSED)
+    long = sizes.filter(F.col("_size") > MAX_RECORD)
+    nothing = F.array().cast("array<string>").alias("fields")
+    marked = long.select(*record, nothing, F.col("_bad").alias("bad_text"), F.lit(True).alias("too_long"))
+    return joined.withColumn("too_long", F.lit(False)).select(*RECORDS).unionByName(marked)
+
+
+def pin_splits(spark: SparkSession) -> None:
+    """Keep file splits the same between two readings, however many executors join meanwhile."""
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
 
 
 def read_split_records(spark: SparkSession, paths: Sequence[str], null: str | None = None) -> DataFrame:
     """Records of files of any size; see the module text."""
+    pin_splits(spark)
     lines = read_lines(spark, paths)
     edges = lines.select("source_file", "start", "value").mapInArrow(_find_edges, EDGES)
     # A hundred bytes per split (1e-6 of the text), kept as a table so that the
@@ -317,13 +342,14 @@ def read_split_records(spark: SparkSession, paths: Sequence[str], null: str | No
     parse = functools.partial(_parse, split=True, null=null)
     parsed = placed.select(*columns).mapInArrow(parse, PARSED)
     if starts.filter("inside or open").isEmpty():
-        return parsed.select(*RECORDS)  # no split begins or ends inside a field
+        # No split begins or ends inside a field.
+        return parsed.withColumn("too_long", F.lit(False)).select(*RECORDS)
     # Written once: whole records and pieces are both read from it.
     folder = work_folder(spark, "records")
     parsed.write.parquet(folder)
     parsed = spark.read.schema(PARSED).parquet(folder)
-    complete = parsed.filter(F.col("fields").isNotNull())
-    return complete.unionByName(_joined_pieces(parsed, null)).select(*RECORDS)
+    complete = parsed.filter(F.col("fields").isNotNull()).withColumn("too_long", F.lit(False))
+    return complete.select(*RECORDS).unionByName(_joined_pieces(parsed, null))
 
 
 def read_whole_records(spark: SparkSession, paths: Sequence[str], null: str | None = None) -> DataFrame:
@@ -335,7 +361,7 @@ def read_whole_records(spark: SparkSession, paths: Sequence[str], null: str | No
     )
     # Nothing is cut: an open quote at the end of a file ends its last record.
     parsed = placed.mapInArrow(functools.partial(_parse, split=False, null=null), PARSED)
-    return parsed.select(*RECORDS)
+    return parsed.withColumn("too_long", F.lit(False)).select(*RECORDS)
 
 
 def single_split_bytes(spark: SparkSession) -> int:
@@ -356,10 +382,11 @@ def single_split_bytes(spark: SparkSession) -> int:
 def read_records(
     spark: SparkSession, files: Sequence[tuple[str, int]], null: str | None = None
 ) -> DataFrame:
-    """``source_file, line, fields, bad_text`` of the given (path, size) files.
+    """``source_file, line, fields, bad_text, too_long`` of the given (path, size) files.
 
-    Fields equal to ``null`` become NULL.  ``line`` counts records from 1, blank ones included, but blank records yield
-    no row.
+    Fields equal to ``null`` become NULL.  ``line`` counts records from 1, blank
+    ones included, but blank records yield no row.  A record that is too long to
+    be legal and is cut by splits has no fields and says so.
     """
     limit = single_split_bytes(spark)
     small = [path for path, size in files if size <= limit]

@@ -1,8 +1,9 @@
 """Append-only raw storage on plain Parquet folders, atomic per file.
 
 ``raw/load_id=<id>/source_table=<t>/`` holds what one load delivered and
-``ledger/`` one row per accepted file.  A load becomes visible when its ledger
-rows, written last as a single file, exist; anything a crashed or rejected load
+``ledger/`` one row per accepted file; ``rejected/`` says which files were
+refused, where and why.  A load becomes visible when its ledger rows, written
+last as a single file, exist; anything a crashed or rejected load
 left behind belongs to no ledger row and is never read.  One writer at a time.
 """
 
@@ -23,6 +24,8 @@ from tidemark.operators import joins
 from tidemark.sources import capture
 
 MAX_FILES = 10_000
+# Bytes of one landing, which bounds its file splits (8,000 of 128 MB).
+MAX_BYTES = 1 << 40
 REJECTED = "_rejected"
 
 
@@ -63,21 +66,33 @@ class Warehouse:
             return self.spark.createDataFrame([], contract.LEDGER_SCHEMA)
         return self.spark.read.schema(contract.LEDGER_SCHEMA).parquet(self.folder("ledger"))
 
-    def load_ids(self) -> list[str]:
-        """Committed loads: one id per batch, not per file or row."""
-        return [r["load_id"] for r in self.ledger().select("load_id").distinct().collect()]
+    def rejected(self) -> DataFrame:
+        """Refused files: ``source_file, line, reason, rejected_at, run_id``, a row per refusal."""
+        if not path_exists(self.spark, self.folder("rejected")):
+            return self.spark.createDataFrame([], contract.REJECTED_SCHEMA)
+        return self.spark.read.schema(contract.REJECTED_SCHEMA).parquet(self.folder("rejected"))
+
+    def unaccounted(self, manifest: DataFrame) -> DataFrame:
+        """Listed files that were neither accepted nor refused."""
+        known = self.ledger().select("source_file").union(self.rejected().select("source_file"))
+        return manifest.join(known, F.col("path") == F.col("source_file"), "left_anti")
+
+    def loads(self) -> DataFrame:
+        """Committed loads: one row per batch, not per file or row."""
+        return self.ledger().select("load_id").distinct()
 
     def raw(self, table: str) -> DataFrame:
-        """Delivered events of committed loads; other folders are pruned by name."""
+        """Delivered events of committed loads; the join with them prunes other folders when it runs."""
         schema = contract.raw_schema(table)
-        loads = self.load_ids()
-        if not loads:
+        if not path_exists(self.spark, self.folder("raw")):
             return self.spark.createDataFrame([], schema)
         stored = T.StructType(
             [*schema.fields, T.StructField("load_id", T.StringType()), T.StructField("source_table", T.StringType())]
         )
         events = self.spark.read.schema(stored).parquet(self.folder("raw"))
-        visible = events.filter(F.col("load_id").isin(loads) & (F.col("source_table") == table))
+        own = events.filter(F.col("source_table") == table)
+        # A row of some 40 bytes per load: 4 MB for a year of five-minute batches.
+        visible = own.join(F.broadcast(self.loads()), "load_id", "left_semi")
         return visible.select(*contract.raw_columns(table))
 
     def raw_tables(self) -> dict[str, DataFrame]:
@@ -119,21 +134,30 @@ class Warehouse:
         ledger = self.spark.createDataFrame(rows, contract.LEDGER_SCHEMA)
         ledger.coalesce(1).write.mode("append").parquet(self.folder("ledger"))
 
+    def _refuse(self, rejected: list[tuple[str, int, str]], run_id: str) -> None:
+        now = datetime.now(timezone.utc)
+        rows = [(*r, now, run_id) for r in rejected]
+        frame = self.spark.createDataFrame(rows, contract.REJECTED_SCHEMA)
+        frame.coalesce(1).write.mode("append").parquet(self.folder("rejected"))
+
     def land(
         self,
         files: Sequence[tuple[str, int]],
         capture_root: str,
         fmt: CaptureFormat = DEFAULT_FORMAT,
         strict: bool = True,
+        run_id: str | None = None,
     ) -> Landing:
         """Land (path, size) files in one job.
 
         A file with any bad row is rejected whole.  Strict: files before the
         first bad one in name order land, then ``RejectedFile`` is raised.
         Otherwise all good files land and the bad ones are returned with reasons.
+        Refused files are recorded in ``rejected`` either way.
         """
         files = sorted(files)
         load_id = uuid.uuid4().hex
+        run_id = run_id or load_id
         self._write(capture.read_events(self.spark, capture_root, files, fmt), load_id)
         summary = self._summary(load_id)
         bad = sorted((r["_source_file"], r["line"], r["problem"]) for r in summary if r["bad"])
@@ -155,6 +179,9 @@ class Warehouse:
             for row in summary:
                 if row["_source_file"] in landed:
                     metrics[row["metric"]] = metrics.get(row["metric"], 0) + row["n"]
+        if rejected:
+            # Strict landing stops at the first; the others will be judged again.
+            self._refuse(rejected[:1] if strict else rejected, run_id)
         if rejected and strict:
             name, line, text = rejected[0]
             raise RejectedFile(f"{name}:{line}: {text}")
@@ -170,24 +197,39 @@ class Warehouse:
         strict: bool = True,
         max_files: int = MAX_FILES,
     ) -> dict[str, int]:
-        """Land everything the ledger lacks, in name order, a batch at a time."""
+        """Land everything the ledger lacks, in name order, a batch at a time.
+
+        ``files_rejected`` counts what was refused (see ``rejected``); a later
+        call offers those files again.
+        """
         manifest = capture.require_files(capture.capture_manifest(self.spark, capture_root))
-        listed = manifest.count()
+        listed, run_id = manifest.count(), uuid.uuid4().hex
         metrics = {"files_listed": listed, "files_already_loaded": listed - self.pending(manifest).count()}
-        rejected: set[str] = set()
         while True:
-            waiting = self.pending(manifest).orderBy("path")
-            if rejected:
-                waiting = waiting.filter(~F.col("path").isin(list(rejected)))
-            batch = [(r["path"], r["size"]) for r in waiting.limit(max_files).collect()]
+            refused = self.rejected().filter(F.col("run_id") == run_id).select("source_file")
+            waiting = self.pending(manifest).join(refused, F.col("path") == F.col("source_file"), "left_anti")
+            batch = within_bytes([(r["path"], r["size"]) for r in waiting.orderBy("path").limit(max_files).collect()])
             if not batch:
                 return metrics
-            landing = self.land(batch, capture_root, fmt, strict)
-            rejected |= {name for name, _, _ in landing.rejected}
-            for name, value in landing.metrics.items():
+            landing = self.land(batch, capture_root, fmt, strict, run_id)
+            found = dict(landing.metrics)
+            if landing.rejected:
+                found["files_rejected"] = len(landing.rejected)
+            for name, value in found.items():
                 metrics[name] = metrics.get(name, 0) + value
 
 
+def within_bytes(files: list[tuple[str, int]], most: int = MAX_BYTES) -> list[tuple[str, int]]:
+    """The first files that together hold at most ``most`` bytes, or the first alone."""
+    total, kept = 0, []
+    for path, size in files:
+        total += size
+        if kept and total > most:
+            break
+        kept.append((path, size))
+    return kept
+
+
 def committed_events(warehouse: Warehouse, load_id: str) -> DataFrame:
     return warehouse._written(load_id)
 
