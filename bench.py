@@ -73,7 +73,11 @@ def main() -> None:
     timed("conflicting_copies", lambda: drain(checks.conflicting_copies(raw)))
     timed(
         "dim_customer_history_sliced",
-        lambda: drain(history.customer_history(raw["customers"], heavy_rows=500, slice_rows=200, probe=False)),
+        lambda: drain(
+            history.customer_history(
+                raw["customers"], history.Slicing.of(raw["customers"], "customer_id", heavy_rows=500, slice_rows=200)
+            )
+        ),
     )
     timed("fingerprint_fct_orders", lambda: compare.fingerprint(marts["fct_orders"]).collect())
 

@@ -69,15 +69,36 @@ def test_history_equals_brute_force_on_both_routes(spark, seed):
     events = spark.createDataFrame(rows, EVENT)
     expected = brute_force(rows)
     assert shown(history.customer_history(events)) == expected
-    sliced = history.customer_history(events, heavy_rows=50, slice_rows=20, grid=200)
-    assert shown(sliced) == expected
-    lazy = history.customer_history(events, heavy_rows=0, slice_rows=7, grid=100, probe=False)
-    assert shown(lazy) == expected
+    for options in ({"heavy_rows": 50, "slice_rows": 20, "grid": 200}, {"heavy_rows": 0, "slice_rows": 7, "grid": 100}):
+        slicing = history.Slicing.of(events, "customer_id", **options)
+        assert shown(history.customer_history(events, slicing)) == expected
+
+
+def test_planning_runs_no_job(spark):
+    events = spark.createDataFrame(random_events(5), EVENT)
+    orders = spark.createDataFrame([("x", "A")], "order_id string, customer_id string")
+    people = spark.createDataFrame([("A", "", "", "", "")], "customer_id string, " + ", ".join(
+        f"{c} string" for c in contract.SOURCE_COLUMNS["customers"][1:]))
+    spark.sparkContext.setJobGroup("planning", "")
+    try:
+        slicing = history.Slicing.of(events, "customer_id", heavy_rows=50, slice_rows=20)
+        explicit = len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning"))
+        assert explicit > 0 and slicing.heavy is not None
+        for use in (None, slicing):
+            timed = history.with_first_change(events, "customer_id", use)
+            changes = history.detect_changes(timed, "customer_id", contract.CUSTOMER_ATTRIBUTES, use)
+            history.with_bounds(changes, "customer_id", use)
+            history.customer_history(events, use)
+        joins.orders_with_customer(orders, people)
+        joins.orphans(orders, "customer_id", people, "customer_id")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == explicit
+    finally:
+        spark.sparkContext.setJobGroup("", "")
 
 
 def test_history_steps_agree_for_heavy_keys(spark):
     events = spark.createDataFrame(random_events(4), EVENT)
-    slicing = history.Slicing(heavy_rows=50, slice_rows=20, grid=200)
+    slicing = history.Slicing.of(events, "customer_id", heavy_rows=50, slice_rows=20, grid=200)
     attributes = contract.CUSTOMER_ATTRIBUTES
     plain = history.detect_changes(events, "customer_id", attributes)
     sliced = history.detect_changes(events, "customer_id", attributes, slicing)
@@ -96,10 +117,11 @@ def test_slices_are_small_and_keep_the_order(spark):
     events = spark.range(10_000).select(
         F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise(F.lit("hot")).alias("k"),
         (F.col("id") * F.col("id")).cast("decimal(35,0)").alias("o"),
+        F.lit("").alias("t"),
     )
-    heavy = skew.heavy_keys(events, "k", 100)
+    heavy = skew.heavy_keys(events, "k", 100, *skew.order_span("o", "t"))
     assert [r[0] for r in heavy.select("_heavy_key").collect()] == ["hot"]
-    sliced = skew.order_slices(events, "k", "o", heavy, slice_rows=500)
+    sliced = skew.order_slices(events, "k", "o", "t", heavy, slice_rows=500)
     groups = sliced.groupBy("_slice").agg(F.count("*").alias("n"), F.min("o").alias("lo"), F.max("o").alias("hi"))
     rows = groups.orderBy("_slice").collect()
     assert len(rows) == 14 and sum(r["n"] for r in rows) == 6666 and max(r["n"] for r in rows) < 600
@@ -232,12 +254,13 @@ def test_lookup_join_is_the_same_for_heavy_keys(spark):
     facts = spark.createDataFrame([("hot", n) for n in range(20)] + [("a", 1), ("x", 2), (None, 3)], "k string, n int")
     dimension = spark.createDataFrame([("hot", "H"), ("a", "A"), ("b", "B")], "d string, v string")
     missing = dimension.filter("d <> 'hot'")
+    hot = skew.known(skew.heavy_keys(facts, "k", 5))
     for how in ("inner", "left_anti", "left"):
         for right in (dimension, missing):
             plain = skew.lookup_join(facts, right, "k", "d", how)
-            heavy = skew.lookup_join(facts, right, "k", "d", how, heavy_rows=5)
+            heavy = skew.lookup_join(facts, right, "k", "d", how, hot)
             assert rows_of(plain, "*") == rows_of(heavy, "*")
-    plan = plan_of(skew.lookup_join(facts, dimension, "k", "d", "inner", heavy_rows=5))
+    plan = plan_of(skew.lookup_join(facts, dimension, "k", "d", "inner", hot))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
 
 

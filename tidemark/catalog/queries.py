@@ -16,7 +16,7 @@ from tidemark import contract
 from tidemark.catalog import oracle
 from tidemark.catalog.context import EXPORT, Context, present
 from tidemark.functions import casts, identity
-from tidemark.operators import changelog, checks, compare, delivery, history, joins, profiles
+from tidemark.operators import changelog, checks, compare, delivery, history, joins, profiles, skew
 from tidemark.plans import layers, lifecycle, publish
 from tidemark.session import work_folder
 from tidemark.sources import baseline, capture, records, sinks, warehouse
@@ -63,7 +63,8 @@ for _m in contract.MARTS:
 @query("select * from dim_customer_history")
 def dim_customer_history_sliced(c: Context) -> DataFrame:
     """The route of keys too big for one task, taken by every key above 20 events."""
-    return history.customer_history(c.raw["customers"], heavy_rows=20, slice_rows=15, probe=False)
+    slicing = history.Slicing.of(c.raw["customers"], "customer_id", heavy_rows=20, slice_rows=15)
+    return history.customer_history(c.raw["customers"], slicing)
 
 
 @query("select * from dim_customer_history")
@@ -181,11 +182,50 @@ def version_bounds(c: Context) -> DataFrame:
 @query("select _event_id, customer_id, city from changes")
 def attribute_changes_sliced(c: Context) -> DataFrame:
     """Keys above 20 events compared across slice edges."""
-    slicing = history.Slicing(heavy_rows=20, slice_rows=15, grid=1000)
-    found = history.detect_changes(_unambiguous(c), "customer_id", contract.CUSTOMER_ATTRIBUTES, slicing)
+    events = _unambiguous(c)
+    slicing = history.Slicing.of(events, "customer_id", heavy_rows=20, slice_rows=15, grid=1000)
+    found = history.detect_changes(events, "customer_id", contract.CUSTOMER_ATTRIBUTES, slicing)
     return found.select("_event_id", "customer_id", "city")
 
 
+_TIED = """select o_custkey % 3 as k, o_orderkey, {order} as seq from orders"""
+
+
+@query(
+    "select kind, cast(count(*) as bigint) as versions, cast(sum(case when later is null then 1 else 0 end) as bigint) as open_ones from ("
+    + " union all ".join(
+        f"select '{kind}' as kind, k, lead(seq) over (partition by k order by seq, lpad(cast(o_orderkey as varchar), 12, '0')) as later from ("
+        + _TIED.format(order=order)
+        + ")"
+        for kind, order in (("equal", "0"), ("long", "o_orderkey"))
+    )
+    + ") group by kind"
+)
+def history_of_tied_sequences(c: Context) -> DataFrame:
+    """Three heavy keys whose sequences are all equal, or neighbouring numbers of 35 digits; slices stay small."""
+    rows = c.table("orders").select((F.col("o_custkey") % 3).cast("string").alias("k"), "o_orderkey")
+    base = F.lit("12345678901234567890123456000000000").cast(contract.SEQUENCE_TYPE)
+    parts = []
+    for kind, order in (("equal", F.lit(0)), ("long", base + F.col("o_orderkey"))):
+        events = rows.select(
+            "k",
+            F.col("o_orderkey").cast("string").alias("v"),
+            F.lit("U").alias("_op"),
+            order.cast(contract.SEQUENCE_TYPE).alias("_source_order"),
+            F.lpad(F.col("o_orderkey").cast("string"), 12, "0").alias("_event_id"),
+            F.lit("2024-01-01 00:00:00").cast("timestamp").alias("_commit_at"),
+            F.lit(False).alias("_is_snapshot"),
+        )
+        slicing = history.Slicing.of(events, "k", heavy_rows=100, slice_rows=100, grid=1000)
+        largest = slicing.cut(events, "k").groupBy("k", "_slice").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if largest > 300:
+            raise AssertionError(f"{kind}: a slice of {largest} rows")
+        found = history.scd2_history(events, "k", ["v"], slicing=slicing)
+        parts.append(found.groupBy(F.lit(kind).alias("kind")).agg(
+            F.count(F.lit(1)).alias("versions"), F.count_if(F.col("source_order_to").isNull()).alias("open_ones")))
+    return profiles.union_tables(parts)
+
+
 @query("select _event_id, attribute_hash from hashed")
 def attribute_hash(c: Context) -> DataFrame:
     hashed = identity.attribute_hash(contract.CUSTOMER_ATTRIBUTES).alias("attribute_hash")
@@ -344,7 +384,8 @@ def orders_with_customer(c: Context) -> DataFrame:
 def orders_with_customer_heavy(c: Context) -> DataFrame:
     """The same join with every customer above ten orders treated as heavy."""
     marts = c.stored_marts
-    joined = joins.orders_with_customer(marts["fct_orders"], marts["dim_customers"], heavy_rows=10)
+    heavy = skew.known(skew.heavy_keys(marts["fct_orders"], "customer_id", 10))
+    joined = joins.orders_with_customer(marts["fct_orders"], marts["dim_customers"], heavy)
     return joined.select("order_id", "customer_id", "city")
 
 

@@ -1,8 +1,9 @@
 """Type 2 history from a change log, for any key and attribute list.
 
 Ordinary keys take one shuffle and one sort: every window below shares the same
-partitioning and order.  Keys above ``heavy_rows`` go through order slices
-instead and only the slice edges travel between tasks.
+partitioning and order.  Keys too big for a task go through order slices
+instead and only the slice edges travel between tasks: find them once with
+``Slicing.of`` and hand it to every step.  Planning a step runs no job.
 """
 
 from __future__ import annotations
@@ -41,8 +42,8 @@ def with_first_change(events: DataFrame, key: str, slicing: Slicing | None = Non
     key from meeting in one task, and so does the join.
     """
     first = events.groupBy(F.col(key).alias("_k")).agg(_first_change().alias("first_cdc_at"))
-    heavy_rows = slicing.heavy_rows if slicing else skew.HEAVY_ROWS
-    return skew.lookup_join(events, first, key, "_k", "left", heavy_rows, null_safe=True).drop("_k")
+    heavy = slicing.heavy if slicing else None
+    return skew.lookup_join(events, first, key, "_k", "left", heavy, null_safe=True).drop("_k")
 
 
 def drop_ambiguous_snapshots(events: DataFrame) -> DataFrame:
@@ -51,38 +52,47 @@ def drop_ambiguous_snapshots(events: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Slicing:
-    """When a key is too big for one task, and how finely it is cut."""
+    """The keys of an event table that are too big for one task, and how finely they are cut."""
 
-    heavy_rows: int = skew.HEAVY_ROWS
+    heavy: DataFrame | None
     slice_rows: int = skew.SLICE_ROWS
     grid: int = skew.GRID
 
-    def heavy(self, events: DataFrame, key: str) -> DataFrame:
-        return skew.heavy_keys(events, key, self.heavy_rows, _first_change().alias("_first_change"))
+    @classmethod
+    def of(
+        cls,
+        events: DataFrame,
+        key: str,
+        heavy_rows: int = skew.HEAVY_ROWS,
+        slice_rows: int = skew.SLICE_ROWS,
+        grid: int = skew.GRID,
+    ) -> Slicing:
+        """Finds them with one partially aggregated count, now."""
+        span = skew.order_span(*ORDER)
+        found = skew.heavy_keys(events, key, heavy_rows, _first_change().alias("_first_change"), *span)
+        return cls(skew.known(found), slice_rows, grid)
 
-    def cut(self, events: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-        return skew.order_slices(events, key, "_source_order", heavy, self.slice_rows, self.grid)
+    def cut(self, events: DataFrame, key: str) -> DataFrame:
+        return skew.order_slices(events, key, *ORDER, self.heavy, self.slice_rows, self.grid)
 
 
 def detect_changes(
-    events: DataFrame, key: str, attributes: Sequence[str], slicing: Slicing = Slicing()
+    events: DataFrame, key: str, attributes: Sequence[str], slicing: Slicing | None = None
 ) -> DataFrame:
     """Events that open a version: the first of their key, or a changed one."""
-    heavy = slicing.heavy(events, key)
-    if heavy.isEmpty():
+    if slicing is None or slicing.heavy is None:
         return _plain_changes(events, key, attributes)
-    plain = _plain_changes(skew.without_keys(events, key, heavy), key, attributes)
-    sliced = _sliced_changes(slicing.cut(events, key, heavy), attributes)
+    plain = _plain_changes(skew.without_keys(events, key, slicing.heavy), key, attributes)
+    sliced = _sliced_changes(slicing.cut(events, key), attributes)
     return plain.unionByName(sliced.select(*events.columns))
 
 
-def with_bounds(changes: DataFrame, key: str, slicing: Slicing = Slicing()) -> DataFrame:
+def with_bounds(changes: DataFrame, key: str, slicing: Slicing | None = None) -> DataFrame:
     """Validity of each version in time and in sequence, open at the end."""
-    heavy = slicing.heavy(changes, key)
-    if heavy.isEmpty():
+    if slicing is None or slicing.heavy is None:
         return _plain_bounds(changes, key)
-    plain = _plain_bounds(skew.without_keys(changes, key, heavy), key)
-    sliced = _sliced_bounds(slicing.cut(changes, key, heavy))
+    plain = _plain_bounds(skew.without_keys(changes, key, slicing.heavy), key)
+    sliced = _sliced_bounds(slicing.cut(changes, key))
     return plain.unionByName(sliced.select(*plain.columns))
 
 
@@ -174,33 +184,24 @@ def scd2_history(
     key: str,
     attributes: Sequence[str],
     version: str = "version_id",
-    heavy_rows: int = skew.HEAVY_ROWS,
-    slice_rows: int = skew.SLICE_ROWS,
-    grid: int = skew.GRID,
-    probe: bool = True,
+    slicing: Slicing | None = None,
 ) -> DataFrame:
     """Versions of every key, deletion markers included.
 
     Delivered copies of one event carry equal state, so they never open a
-    version; events may therefore come straight from raw.  ``probe`` runs one
-    count per key now and leaves the sliced branch out of the plan when no key
-    needs it; without it both branches are planned lazily.
+    version; events may therefore come straight from raw.
     """
     columns = [key, *attributes, "_op", "_source_order", "_event_id", "_commit_at", "_is_snapshot"]
     events = events.select(*columns)
-    slicing = Slicing(heavy_rows, slice_rows, grid)
-    heavy = slicing.heavy(events, key)
-    if probe and heavy.isEmpty():
+    if slicing is None or slicing.heavy is None:
         return _versions(_plain_history(events, key, attributes), key, attributes, version)
-    plain = _plain_history(skew.without_keys(events, key, heavy), key, attributes)
-    timed = slicing.cut(events, key, heavy).withColumnRenamed("_first_change", "first_cdc_at")
+    plain = _plain_history(skew.without_keys(events, key, slicing.heavy), key, attributes)
+    timed = slicing.cut(events, key).withColumnRenamed("_first_change", "first_cdc_at")
     sliced = _sliced_bounds(_sliced_changes(drop_ambiguous_snapshots(timed), attributes))
     return _versions(plain, key, attributes, version).unionByName(
         _versions(sliced, key, attributes, version)
     )
 
 
-def customer_history(events: DataFrame, **skew_options) -> DataFrame:
-    return scd2_history(
-        events, "customer_id", contract.CUSTOMER_ATTRIBUTES, "customer_version_id", **skew_options
-    )
+def customer_history(events: DataFrame, slicing: Slicing | None = None) -> DataFrame:
+    return scd2_history(events, "customer_id", contract.CUSTOMER_ATTRIBUTES, "customer_version_id", slicing)

@@ -40,26 +40,27 @@ def fct_orders(orders: DataFrame, items: DataFrame, payments: DataFrame) -> Data
 
 
 def orders_with_customer(
-    orders: DataFrame, customers: DataFrame, heavy_rows: int = skew.HEAVY_ROWS
+    orders: DataFrame, customers: DataFrame, heavy: DataFrame | None = None
 ) -> DataFrame:
     """Every order beside its customer as of now, old orders included.
 
-    One customer may own a large share of the orders, see ``lookup_join``.
+    One customer may own a large share of the orders: see ``skew.lookup_join``
+    for ``heavy``.
     """
     attributes = customers.select(
         F.col("customer_id").alias("_dim_customer"), *contract.SOURCE_COLUMNS["customers"][1:]
     )
-    joined = skew.lookup_join(orders, attributes, "customer_id", "_dim_customer", "inner", heavy_rows)
+    joined = skew.lookup_join(orders, attributes, "customer_id", "_dim_customer", "inner", heavy)
     return joined.drop("_dim_customer")
 
 
 def orphans(
-    child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str, heavy_rows: int = skew.HEAVY_ROWS
+    child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str, heavy: DataFrame | None = None
 ) -> DataFrame:
     """Child rows whose non-null reference has no parent."""
     keys = parent.select(F.col(parent_key).alias("_parent_key"))
     referring = child.filter(F.col(foreign_key).isNotNull())
-    return skew.lookup_join(referring, keys, foreign_key, "_parent_key", "left_anti", heavy_rows)
+    return skew.lookup_join(referring, keys, foreign_key, "_parent_key", "left_anti", heavy)
 
 
 def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

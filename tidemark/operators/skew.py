@@ -2,9 +2,10 @@
 
 A window over ``partitionBy(key)`` sends a whole key to one task.  When one key
 holds a large share of the table that task never ends.  ``heavy_keys`` finds
-such keys with one partially aggregated count; ``order_slices`` cuts each of
-them into consecutive ranges of the change sequence, so that every
-(key, slice) group is small and slices keep the order of the events.
+such keys with one partially aggregated count, ``known`` runs it, once, for all
+operators over the same input; planning an operator itself runs nothing.
+``order_slices`` cuts heavy keys into consecutive ranges of the event order, so
+that every (key, slice) group is small and slices keep that order.
 """
 
 from __future__ import annotations
@@ -30,6 +31,15 @@ def heavy_keys(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, *extra: Co
     return sizes.filter(F.col("_rows") > heavy_rows)
 
 
+def known(heavy: DataFrame) -> DataFrame | None:
+    """The rows of ``heavy`` found now, by one job, or None when there are none.
+
+    At most rows/HEAVY_ROWS short rows reach the driver.
+    """
+    rows = heavy.collect()
+    return heavy.sparkSession.createDataFrame(rows, heavy.schema) if rows else None
+
+
 def without_keys(df: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
     # Bounded by HEAVY_ROWS (see above), so a broadcast keeps heavy rows out of
     # the shuffle altogether.
@@ -43,20 +53,20 @@ def lookup_join(
     fact_key: str,
     dimension_key: str,
     how: str = "inner",
-    heavy_rows: int = HEAVY_ROWS,
+    heavy: DataFrame | None = None,
     null_safe: bool = False,
 ) -> DataFrame:
     """Join to a table with one row per key, whatever share of rows a key holds.
 
     AQE splits a skewed sort-merge join only when both inputs come straight from
-    a shuffle, which a windowed or aggregated dimension does not.  So rows of heavy keys stay
-    where they are and meet a broadcast of just those keys' dimension rows, of
-    which there are at most rows/HEAVY_ROWS; all others join by shuffle.
+    a shuffle, which a windowed or aggregated dimension does not.  So rows of
+    ``heavy`` keys (``known(heavy_keys(...))`` of the facts) stay where they are
+    and meet a broadcast of just those keys' dimension rows, of which there are
+    at most rows/HEAVY_ROWS; all others join by shuffle.
     """
-    heavy = heavy_keys(facts, fact_key, heavy_rows)
     left, right = F.col(fact_key), F.col(dimension_key)
     match = same(left, right) if null_safe else left == right
-    if heavy.isEmpty():
+    if heavy is None:
         return facts.join(dimension, match, how)
     keys = F.broadcast(heavy.select("_heavy_key"))
     few = dimension.join(keys, same(right, F.col("_heavy_key")), "left_semi")
@@ -65,21 +75,50 @@ def lookup_join(
     return rest.join(dimension, match, how).unionByName(many.join(F.broadcast(few), match, how))
 
 
+# Characters of a tie's text that make its fraction, after what all texts of the key share.
+_TIE_BYTES = 6
+
+
+def order_span(order: str, tie: str) -> list[Column]:
+    """What ``order_slices`` needs to know of a heavy key, as aggregates."""
+    return [F.min(order).alias("_low"), F.min(tie).alias("_first_tie"), F.max(tie).alias("_last_tie")]
+
+
+def _rank(order: str, tie: str) -> Column:
+    """A double that never falls along (order, tie) within a key.
+
+    Distances from the key's lowest sequence are exact for neighbouring numbers
+    of any length; equal ones are told apart by the text of the tie.
+    """
+    upto = F.least(F.length("_first_tie"), F.length("_last_tie"))
+    shared = F.aggregate(
+        F.when(upto > 0, F.sequence(F.lit(1), upto)).otherwise(F.array().cast("array<int>")),
+        F.lit(0),
+        lambda n, i: F.when((n == i - 1) & (F.substring("_first_tie", F.lit(1), i) == F.substring("_last_tie", F.lit(1), i)), i).otherwise(n),
+    )
+    differing = F.substring(F.col(tie).cast("binary"), F.octet_length(F.substring("_first_tie", F.lit(1), shared)) + 1, F.lit(_TIE_BYTES))
+    digits = F.rpad(F.hex(differing), 2 * _TIE_BYTES, "0")
+    fraction = F.conv(digits, 16, 10).cast("double") / float(1 << 8 * _TIE_BYTES)
+    return (F.col(order) - F.col("_low")).cast("double") + F.coalesce(fraction, F.lit(0.0))
+
+
 def order_slices(
     df: DataFrame,
     key: str,
     order: str,
+    tie: str,
     heavy: DataFrame,
     slice_rows: int = SLICE_ROWS,
     grid: int = GRID,
 ) -> DataFrame:
     """Rows of the heavy keys with ``_slice``, plus the columns of ``heavy``.
 
-    Boundaries are approximate quantiles of ``order`` per key, at most one per
-    ``slice_rows`` rows; only their balance is approximate, never the result.
+    ``heavy`` has the aggregates of ``order_span``.  Boundaries are approximate
+    quantiles of (order, tie) per key, at most one per ``slice_rows`` rows; only
+    their balance is approximate, never the result.
     """
-    rank = F.col(order).cast("double")
-    rows = df.join(F.broadcast(heavy), same(F.col(key), F.col("_heavy_key")), "inner")
+    rank = F.col("_rank")
+    rows = df.join(F.broadcast(heavy), same(F.col(key), F.col("_heavy_key")), "inner").withColumn("_rank", _rank(order, tie))
     # One text literal plans much faster than an array of thousands of numbers.
     quantiles = " ".join(str(i / grid) for i in range(1, grid))
     sketch = F.expr(
@@ -88,8 +127,7 @@ def order_slices(
     wanted = F.least(F.lit(grid), F.ceil(F.col("_rows") / slice_rows)).cast("int")
     picks = F.when(wanted > 1, F.sequence(F.lit(1), wanted - 1)).otherwise(F.array().cast("array<int>"))
     bounds = (
-        rows.withColumn("_rank", rank)
-        .groupBy(F.col("_heavy_key").alias("_bound_key"), "_rows")
+        rows.groupBy(F.col("_heavy_key").alias("_bound_key"), "_rows")
         .agg(sketch.alias("_grid"))
         .select(
             "_bound_key",
@@ -102,7 +140,7 @@ def order_slices(
     # One row per heavy key and one number per slice: bounded by rows/SLICE_ROWS.
     sliced = rows.join(F.broadcast(bounds), same(F.col("_heavy_key"), F.col("_bound_key")), "inner")
     return sliced.withColumn("_slice", _position(F.col("_bounds"), rank)).drop(
-        "_bound_key", "_bounds"
+        "_bound_key", "_bounds", "_rank", "_low", "_first_tie", "_last_tie"
     )
 
 

@@ -49,25 +49,25 @@ def detail_marts(live: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def marts_from(live: Mapping[str, DataFrame], customer_events: DataFrame, **skew_options) -> dict[str, DataFrame]:
+def marts_from(live: Mapping[str, DataFrame], customer_events: DataFrame, slicing: history.Slicing | None = None) -> dict[str, DataFrame]:
     """The five marts from current state and the customer change log."""
     return {
         "dim_customers": live["customers"].select(*contract.SOURCE_COLUMNS["customers"]),
-        "dim_customer_history": history.customer_history(customer_events, **skew_options),
+        "dim_customer_history": history.customer_history(customer_events, slicing),
         "fct_orders": joins.fct_orders(live["orders"], live["order_items"], live["order_payments"]),
         **detail_marts(live),
     }
 
 
-def marts(raw: Mapping[str, DataFrame], **skew_options) -> dict[str, DataFrame]:
+def marts(raw: Mapping[str, DataFrame], slicing: history.Slicing | None = None) -> dict[str, DataFrame]:
     """Marts by the layered route: stage, then fold."""
     staged = stage_all(raw)
-    return marts_from(current(staged), staged["customers"], **skew_options)
+    return marts_from(current(staged), staged["customers"], slicing)
 
 
-def marts_from_raw(raw: Mapping[str, DataFrame], **skew_options) -> dict[str, DataFrame]:
+def marts_from_raw(raw: Mapping[str, DataFrame], slicing: history.Slicing | None = None) -> dict[str, DataFrame]:
     """Marts by the short route, for raw that has passed the conflict check."""
-    return marts_from(current_from_raw(raw), raw["customers"], **skew_options)
+    return marts_from(current_from_raw(raw), raw["customers"], slicing)
 
 
 def register_views(spark: SparkSession, raw: Mapping[str, DataFrame]) -> list[str]:
