@@ -174,9 +174,14 @@ def test_lifecycle_report(spark, store, capture_root):
         ("customer_versions", "k1", "2|0|1"),
         ("customer_versions", "gone", "2|1|0"),
         ("order_absent", "gone", "absent"),
-        ("order_operations", "D", "1|1"),
-        ("order_operations", "I", "2|2"),
-        ("order_operations", "U", "1|1"),
+        ("customers_operations", "D", "1|1"),
+        ("customers_operations", "I", "2|2"),
+        ("customers_operations", "U", "1|1"),
+        ("order_items_operations", "I", "1|1"),
+        ("order_payments_operations", "I", "1|1"),
+        ("orders_operations", "D", "1|1"),
+        ("orders_operations", "I", "2|2"),
+        ("orders_operations", "U", "1|1"),
         ("order_totals", "r1", "approved|31.00|4.00|35.00|1|1"),
         ("status_steps", "gone", "1|1"),
         ("status_steps", "r1", "2|2"),

@@ -711,8 +711,12 @@ def cycle_counts(c: Context) -> DataFrame:
        union all select 'customer_absent', cast(c_custkey as varchar), 'absent' from customer
          where cast(c_custkey as varchar) not in (select customer_id from dim_customers)
        union all select 'current_city', o.order_id, d.city from fct_orders o join dim_customers d on o.customer_id = d.customer_id
-       union all select 'order_operations', _op, count(*) || '|' || count(distinct _event_id) from stg_orders
-         where not _is_snapshot group by _op"""
+       """
+    + " ".join(
+        f"union all select '{t}_operations', _op, count(*) || '|' || count(distinct _event_id) from stg_{t} "
+        "where not _is_snapshot group by _op"
+        for t in contract.TABLES
+    )
 )
 def lifecycle_report(c: Context) -> DataFrame:
     orders = c.table("orders").select(F.col("o_orderkey").cast("string").alias("order_id"))
@@ -720,6 +724,19 @@ def lifecycle_report(c: Context) -> DataFrame:
     return lifecycle.lifecycle_report(c.stored_raw, c.stored_staged, c.stored_marts, orders, customers)
 
 
+@query(
+    """select 'status' as "check", order_id as key, _source_order as position, _op || '|' || status as value from stg_orders
+         where not _is_snapshot
+       union all select 'city', customer_id, _source_order, city from bounded
+       union all select 'deleted', customer_id, _source_order, cast(_op = 'D' as varchar) from bounded"""
+)
+def lifecycle_events(c: Context) -> DataFrame:
+    orders = c.table("orders").select(F.col("o_orderkey").cast("string").alias("order_id"))
+    # Everyone the log speaks of: nothing is left out of the comparison.
+    customers = c.staged["customers"].select("customer_id")
+    return lifecycle.lifecycle_events(c.staged, c.stored_marts, orders, customers)
+
+
 # Checks -----------------------------------------------------------------------------------------
 
 
