@@ -123,7 +123,13 @@ def test_empty_capture_is_an_error(spark, capture_root):
         capture.require_files(capture.capture_manifest(spark, capture_root))
 
 
-def test_manifest_scan_reads_no_content(spark, capture_root):
-    put_changes(capture_root, "a", [change("customers", CUSTOMER, 1)])
-    plan = capture.capture_manifest(spark, capture_root)._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
+def test_manifest_lists_every_csv_and_reads_none(spark, capture_root):
+    names = ("cdc/a.csv", "cdc/_b.csv", "cdc/.c.csv", "initial-load/orders/LOAD 1;x.csv", "else/where/d.csv")
+    for name in names:
+        put(capture_root, name, [change("customers", CUSTOMER, 1)])
+    put(capture_root, "cdc/zero.csv", "")
+    put(capture_root, "cdc/e.txt", "x")
+    manifest = capture.capture_manifest(spark, capture_root)
+    assert "FileScan" not in manifest._jdf.queryExecution().executedPlan().toString()
+    found = {r["path"].removeprefix(f"file:{capture_root}/"): r["size"] for r in manifest.collect()}
+    assert set(found) == {*names, "cdc/zero.csv"} and found["cdc/zero.csv"] == 0 < found["cdc/_b.csv"]

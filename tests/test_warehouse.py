@@ -1,10 +1,13 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from changes import CUSTOMER, ITEM, NULL, ORDER, change, put, put_changes, put_snapshot, snapshot
 from tidemark import contract
 from tidemark.sources import warehouse
-from tidemark.sources.warehouse import RejectedFile
+from tidemark.sources.warehouse import RejectedFile, Warehouse, within_bytes
+from tidemark.streaming import ingest
 
 
 def test_retry_is_skipped_and_redelivery_is_kept(store, capture_root):
@@ -111,3 +114,51 @@ def test_odd_file_names(store, capture_root, name):
     assert [r["row_count"] for r in store.ledger().collect()] == [1]
     assert store.raw("customers").first()["_source_file"] == store.ledger().first()["source_file"]
     assert store.land_pending(capture_root)["files_already_loaded"] == 1
+
+
+def test_every_listed_file_is_landed_or_refused(spark, store, capture_root, tmp_path):
+    put_changes(capture_root, "good", [change("customers", CUSTOMER, 1)])
+    put_changes(capture_root, "_hidden", [change("customers", CUSTOMER, 2)])
+    put_changes(capture_root, "wide", [change("customers", {**CUSTOMER, "city": "x" * 200_000}, 3)])
+    put(capture_root, "cdc/zero.csv", "")
+    old = put_changes(capture_root, "old", [change("customers", CUSTOMER, 4)])
+    os.utime(old, (1, 1))
+    expected = {"good": 1, "_hidden": 1, "zero": 0, "old": 1}
+    metrics = store.land_pending(capture_root, strict=False)
+    assert metrics["files_listed"] == 5 and metrics["files_rejected"] == 1
+
+    def accounted(warehouse):
+        name = lambda r: os.path.basename(r["source_file"]).removesuffix(".csv")
+        assert {name(r): r["row_count"] for r in warehouse.ledger().collect()} == expected
+        assert [(name(r), r["line"], r["reason"]) for r in warehouse.rejected().collect()] == [("wide", 1, "source value is too wide")]
+        assert warehouse.raw("customers").count() == 3
+
+    accounted(store)
+    # Offered again, refused again, and recorded as another refusal.
+    store.land_pending(capture_root, strict=False)
+    assert store.rejected().count() == 2
+    streamed = Warehouse(spark, str(tmp_path / "streamed"))
+    ingest.ingest_all(streamed, capture_root, str(tmp_path / "checkpoint"), strict=False)
+    accounted(streamed)
+
+
+def test_an_unclosed_quote_refuses_its_file_alone(spark, store, capture_root):
+    """The rest of the file, cut by many splits, becomes one record; it is never put together."""
+    lines = ["I,customers,ecommerce," + ",".join(["v"] * 6) + f",{n},2026-01-01T00:00:00Z" for n in range(1, 4000)]
+    put(capture_root, "cdc/open.csv", '"' + "\n".join(lines) + "\n")
+    put(capture_root, "cdc/shut.csv", "\n".join(lines) + "\n")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for name in names:
+        spark.conf.set(name, "8192")
+    try:
+        store.land_pending(capture_root, strict=False)
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    assert [r["row_count"] for r in store.ledger().collect()] == [3999]
+    assert [r["reason"] for r in store.rejected().collect()] == ["record is too long"]
+
+
+def test_batches_are_bounded_by_bytes():
+    files = [("a", 5), ("b", 5), ("c", 1)]
+    assert within_bytes(files, 10) == files[:2] and within_bytes(files, 3) == files[:1] and within_bytes([], 3) == []

@@ -3,7 +3,9 @@
 Capture fields hold commas, doubled quotes and line breaks, NULL and '' must
 stay apart, and a record's number within its file is part of its identity, so
 Spark's own CSV reader does not fit.  Files are read as lines (a split per
-task); a standard CSV reader turns each split's lines into records.
+task).  A line without quote or inner carriage return outside a quoted field is
+a record that a plain cut at commas gives, done in the JVM; a standard CSV
+reader turns the others into records.
 
 A split may begin inside a quoted field.  For files above one split a first
 pass reports, for both possible beginnings, how each split ends and how many
@@ -21,6 +23,7 @@ import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -34,7 +37,7 @@ from tidemark.session import work_folder
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 EDGES = "source_file string, start long, ends_if_outside boolean, ends_if_inside boolean, n_if_outside long, n_if_inside long"
-PARSED = "source_file string, line long, fields array<string>, piece string, start long, bad_text boolean"
+PARSED = "source_file string, line long, fields array<string>, piece string, raw string, start long, bad_text boolean"
 RECORDS = ("source_file", "line", "fields", "bad_text", "too_long")
 _FIELD_LIMIT = 2**31 - 1  # widths are judged later, with a reason
 # Twice what the widest legal record takes with every character quoted twice: a
@@ -83,7 +86,7 @@ def _after_line(line: str, inside: bool) -> tuple[bool, int]:
     return still_open, count - inside
 
 
-def _splits(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str], list[int]]]:
+def _splits(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array, list[int]]]:
     """Runs of lines of one split, and which of them need more than a plain cut.
 
     Special are lines with a quote, a carriage return before their end, or
@@ -101,7 +104,7 @@ def _splits(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             special = pc.match_substring_regex(values, '"|\\r(?s:.)')
             if "bad_text" in run.schema.names:
                 special = pc.or_(special, run.column("bad_text"))
-            yield run, values.to_pylist(), pc.indices_nonzero(special).to_pylist()
+            yield run, values, pc.indices_nonzero(special).to_pylist()
 
 
 def _find_edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,7 +127,7 @@ def _find_edges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not states[guess]:
                     counts[guess] += index - at
                 if index < len(values):
-                    states[guess], started = _after_line(values[index], states[guess])
+                    states[guess], started = _after_line(values[index].as_py(), states[guess])
                     counts[guess] += started
             at = index + 1
     if current is not None:
@@ -142,19 +145,26 @@ class _Split:
         self.open_bad = False
         self.rows: list[tuple] = []  # line, fields, piece, bad
 
-    def add(self, values: list[str], special: list[int], bad: set[int]) -> None:
-        at = 0
+    def add(self, values: pa.Array, special: list[int], bad: set[int]) -> pa.RecordBatch | None:
+        """Takes a run of lines; returns those that are records as they stand."""
+        at, places, lines = 0, [], []
         for index in (*special, len(values)):
             if self.open is not None:
-                self.open += [v + "\n" for v in values[at:index]]
-            else:
-                for fields in csv.reader(values[at:index]):
-                    self.line += 1
-                    if fields:
-                        self.rows.append((self.line, fields, None, False))
+                self.open += [v + "\n" for v in values[at:index].to_pylist()]
+            elif index > at:
+                places.append(np.arange(at, index))
+                lines.append(np.arange(self.line + 1, self.line + 1 + index - at))
+                self.line += index - at
             if index < len(values):
-                self._special(values[index], index in bad)
+                self._special(values[index].as_py(), index in bad)
             at = index + 1
+        if not places:
+            return None
+        raw, line = values.take(pa.array(np.concatenate(places))), pa.array(np.concatenate(lines))
+        filled = pc.invert(pc.is_in(raw, value_set=pa.array(["", "\r"])))  # blank lines count but give no row
+        raw, line = raw.filter(filled), line.filter(filled)
+        none = pa.nulls(len(raw), pa.list_(pa.string())), pa.nulls(len(raw), pa.string())
+        return _batch(self.source, self.start, line, *none, pa.array(np.zeros(len(raw), bool)), raw) if len(raw) else None
 
     def _special(self, line: str, bad: bool) -> None:
         text = line + "\n"
@@ -208,12 +218,13 @@ def _decoded(fields: list[str] | None, null: str | None) -> list[str | None] | N
     return [None if value == null else value for value in fields]
 
 
-def _batch(source: str, start: int, lines, fields, pieces, bad) -> pa.RecordBatch:
+def _batch(source: str, start: int, lines, fields, pieces, bad, raw=None) -> pa.RecordBatch:
     columns = {
         "source_file": pa.repeat(pa.scalar(source, pa.string()), len(lines)),
         "line": pa.array(lines, pa.int64()),
         "fields": pa.array(fields, pa.list_(pa.string())),
         "piece": pa.array(pieces, pa.string()),
+        "raw": pa.nulls(len(lines), pa.string()) if raw is None else raw,
         "start": pa.repeat(pa.scalar(start, pa.int64()), len(lines)),
         "bad_text": pa.array(bad, pa.bool_()),
     }
@@ -234,7 +245,9 @@ def _parse(
                     yield current.batch()
             current = _Split(*first.values(), split, null)
         bad = set(pc.indices_nonzero(run.column("bad_text")).to_pylist())
-        current.add(values, special, bad)
+        plain = current.add(values, special, bad)
+        if plain is not None:
+            yield plain
         if current.rows:
             yield current.batch()
     if current is not None:
@@ -292,6 +305,15 @@ def _true_starts(edges: DataFrame) -> DataFrame:
     return settled.select("source_file", "start", "inside", ends.alias("open"), base.alias("base"))
 
 
+def _records_of(parsed: DataFrame, null: str | None) -> DataFrame:
+    """Parsed rows that are whole records, plain ones cut at their commas."""
+    cut = F.split(F.regexp_replace("raw", "\r$", ""), ",", -1)
+    if null is not None:
+        cut = F.transform(cut, lambda value: F.nullif(value, F.lit(null)))
+    fields = F.when(F.col("raw").isNotNull(), cut).otherwise(F.col("fields")).alias("fields")
+    return parsed.select("source_file", "line", fields, "bad_text", F.lit(False).alias("too_long"))
+
+
 def _joined_pieces(parsed: DataFrame, null: str | None) -> DataFrame:
     """Records cut by split edges: one or two pieces each, rarely more.
 
@@ -343,13 +365,13 @@ def read_split_records(spark: SparkSession, paths: Sequence[str], null: str | No
     parsed = placed.select(*columns).mapInArrow(parse, PARSED)
     if starts.filter("inside or open").isEmpty():
         # No split begins or ends inside a field.
-        return parsed.withColumn("too_long", F.lit(False)).select(*RECORDS)
+        return _records_of(parsed, null)
     # Written once: whole records and pieces are both read from it.
     folder = work_folder(spark, "records")
     parsed.write.parquet(folder)
     parsed = spark.read.schema(PARSED).parquet(folder)
-    complete = parsed.filter(F.col("fields").isNotNull()).withColumn("too_long", F.lit(False))
-    return complete.select(*RECORDS).unionByName(_joined_pieces(parsed, null))
+    complete = parsed.filter(F.col("piece").isNull())
+    return _records_of(complete, null).unionByName(_joined_pieces(parsed, null))
 
 
 def read_whole_records(spark: SparkSession, paths: Sequence[str], null: str | None = None) -> DataFrame:
@@ -361,7 +383,7 @@ def read_whole_records(spark: SparkSession, paths: Sequence[str], null: str | No
     )
     # Nothing is cut: an open quote at the end of a file ends its last record.
     parsed = placed.mapInArrow(functools.partial(_parse, split=False, null=null), PARSED)
-    return parsed.withColumn("too_long", F.lit(False)).select(*RECORDS)
+    return _records_of(parsed, null)
 
 
 def single_split_bytes(spark: SparkSession) -> int:
