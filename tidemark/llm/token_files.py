@@ -7,7 +7,7 @@ Stripes are the unit of parallel reading; a reader that wants a few documents
 skips shards, stripes and row groups by their statistics and filters
 (``lookup``).
 
-A tokenizer treats what white space separates independently, so a worker
+The tokenizer treats what white space separates independently, so a worker
 encodes a chunk of characters once and keeps its ids: texts are put together
 from chunks.
 
@@ -19,6 +19,7 @@ empty table writes no rows.
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,11 @@ from tidemark.llm import base
 from tidemark.session import work_folder
 
 END_ID = 1
-SHARD_IDS, MAX_SHARDS = 4096, 100_000
+SHARD_IDS, MAX_SHARDS = 1024, 100_000
 STRIPE_BYTES, ROW_INDEX = 16 << 20, 1000
 _SPECIAL = "<|endoftext|>"
-_CACHE_CHUNKS = 800_000
+_MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+_CACHE_CHUNKS = 1_000_000
 
 
 def vocabulary() -> str:
@@ -41,57 +43,109 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Numbers(dict):
+    """Numbers chunks as they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, chunk: bytes) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
 def encoder(path: str):
-    """Texts to id arrays, equal to encoding each text whole."""
+    """Texts (UTF-8) to id arrays, equal to encoding each text whole."""
     import os
 
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     mark = tokenizer.token_to_id(_SPECIAL)
-    known: dict[str, int] = {}
-    flat, starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
-
-    def learn(chunks: list[str]) -> None:
-        """One call for many chunks: an added token between them, which encodes to itself, tells them apart."""
-        nonlocal flat, starts
-        odd = [c for c in chunks if any(s in c for s in special)]
-        even = [c for c in chunks if not any(s in c for s in special)] if odd else chunks
-        parts, sizes = [flat], []
-        for lo in range(0, len(even), 2000):
-            joined = _SPECIAL.join(even[lo : lo + 2000])
-            ids = np.array(tokenizer.encode(joined, add_special_tokens=False).ids, np.int32)
-            cut = np.flatnonzero(ids == mark)
-            sizes.append(np.diff(np.concatenate([[-1], cut, [len(ids)]])) - 1)
-            parts.append(ids[ids != mark])
+    last = np.zeros(tokenizer.get_vocab_size(), bool)  # ids that end a word
+    for token, i in tokenizer.get_vocab().items():
+        last[i] = token.endswith("</w>")
+    known = _Numbers()
+    # By number: where a chunk's ids begin in ``flat``, and how many they are.
+    flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def library(chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Chunks in the order they were encoded in, with sizes and ids; many share one call."""
+        texts = [c.decode() for c in chunks]
+        plain = [c for c, t in zip(chunks, texts) if t.isalpha()]  # one word each, so its last id tells
+        odd = [c for c, t in zip(chunks, texts) if "<|" in t]  # may hold an added token
+        seen = {*plain, *odd}
+        other = [c for c in chunks if c not in seen]  # an added token between them tells
+        order, counts, parts = [], [], []
+        for group, alpha in ((plain, True), (other, False)):
+            for lo in range(0, len(group), 2000):
+                some = group[lo : lo + 2000]
+                if alpha:
+                    ids = np.array(tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, np.int32)
+                    found = np.diff(np.flatnonzero(last[ids]), prepend=-1)
+                if not alpha or len(found) != len(some):  # lower case gave one of them another word
+                    ids = np.array(tokenizer.encode(_SPECIAL.encode().join(some).decode(), add_special_tokens=False).ids, np.int32)
+                    found = np.diff(np.flatnonzero(ids == mark), prepend=-1, append=len(ids)) - 1
+                    ids = ids[ids != mark]
+                order += some
+                counts.append(found)
+                parts.append(ids)
         for c in odd:
-            ids = np.array(tokenizer.encode(c, add_special_tokens=False).ids, np.int32)
-            sizes.append(np.array([len(ids)]))
+            ids = np.array(tokenizer.encode(c.decode(), add_special_tokens=False).ids, np.int32)
+            counts.append(np.array([len(ids)]))
             parts.append(ids)
-        known.update(zip([*even, *odd], range(len(known), len(known) + len(chunks))))
-        flat = np.concatenate(parts)
-        starts = np.concatenate([starts, starts[-1] + np.cumsum(np.concatenate(sizes))])
-
-    def encode(texts: list[str | None]) -> list[np.ndarray]:
-        nonlocal flat, starts
-        lists = [(t or "").split() for t in texts]
+        return [*order, *odd], np.concatenate(counts), np.concatenate(parts)
+
+    def gathered(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered chunks one after another, and how many each has."""
+        many = sizes[at]
+        ends = np.cumsum(many)
+        n = int(ends[-1]) if len(ends) else 0
+        return flat[np.repeat(starts[at] - (ends - many), many) + np.arange(n)], many
+
+    def hold(numbers: list[int], many: np.ndarray, ids: np.ndarray) -> None:
+        nonlocal flat
+        starts[numbers], sizes[numbers] = len(flat) + np.cumsum(many) - many, many
+        flat = np.concatenate([flat, ids])
+
+    def learn() -> None:
+        """A run of marks after an ASCII letter or digit is a word of its own: such chunks are put together from two."""
+        nonlocal starts, sizes
+        single, joint, met = [], [], len(known.new)
+        for c in known.new[:met]:
+            stem = c.rstrip(_MARKS)
+            if len(stem) < len(c) and stem and stem[-1] < 128 and b"<|" not in c:
+                joint.append((known[c], known[stem], known[c[len(stem) :]]))
+            else:
+                single.append(c)
+        single += known.new[met:]  # stems and marks met first here
+        known.new.clear()
+        more = len(known) - len(starts)
+        starts, sizes = np.append(starts, np.zeros(more, np.int64)), np.append(sizes, np.zeros(more, np.int64))
+        if single:
+            order, many, ids = library(single)
+            hold([known[c] for c in order], many, ids)
+        if joint:
+            parts = np.array(joint, np.int64)
+            ids, many = gathered(parts[:, 1:].ravel())
+            hold(parts[:, 0], many.reshape(-1, 2).sum(1), ids)
+
+    def encode(texts: list[bytes | None]) -> list[np.ndarray]:
+        nonlocal flat, starts, sizes
+        # The tokenizer lower-cases; an added token is one only as it is written.
+        lists = [((t if b"<|" in t else t.lower()) if t else b"").split() for t in texts]
         if len(known) > _CACHE_CHUNKS:
             known.clear()
-            flat, starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
-        new = list({c for chunks in lists for c in chunks if c not in known})
-        if new:
-            learn(new)
-        out = []
-        for chunks in lists:
-            at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-            sizes = starts[at + 1] - starts[at]
-            ends = np.cumsum(sizes)
-            n = int(ends[-1]) if len(ends) else 0
-            place = np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(n)
-            out.append(np.append(flat[place], np.int32(END_ID)))
-        return out
+            flat, starts, sizes = flat[:0], starts[:0], sizes[:0]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        at = np.fromiter(map(known.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
+        if known.new:
+            learn()
+        ids, many = gathered(at)
+        ends = np.concatenate([[0], np.cumsum(many)])[np.cumsum(counts)]
+        return np.split(np.insert(ids, ends, END_ID), (ends + np.arange(1, len(ends) + 1))[:-1])
 
     return encode
 
@@ -121,7 +175,7 @@ def write(docs: DataFrame, target: str, path: str | None = None) -> None:
     width = max(SHARD_IDS, -(-((high or 0) - (low or 0) + 1) // MAX_SHARDS))
     # Rows without id form the lowest shard.
     shard = F.coalesce(F.floor(F.col("doc_id") / F.lit(width).cast("decimal(20,0)")).cast("long"), F.lit(-(1 << 62)))
-    rows = docs.select(shard.alias("shard"), "doc_id", "text")
+    rows = docs.select(shard.alias("shard"), "doc_id", F.col("text").cast("binary").alias("text"))
     rows = rows.repartition("shard").sortWithinPartitions("shard", "doc_id", "text")
     writer = encoded(rows, path or vocabulary()).sortWithinPartitions("shard", "doc_id").write.partitionBy("shard")
     writer.option("orc.compress", "ZSTD").option("orc.stripe.size", str(STRIPE_BYTES)).option(
