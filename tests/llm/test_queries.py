@@ -383,3 +383,10 @@ def test_token_ids_equal_encoding_whole_texts():
     for _ in range(2):  # from the library, then from what is held
         for text, ids in zip(texts, encode([t.encode() for t in texts])):
             assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, token_files.END_ID]
+
+
+def test_fingerprints_agree_with_the_compared_ones(spark):
+    rows = [(i, r[1]) for i, r in enumerate(plain_rows())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    alone = {r.doc_id: r.fp for r in document_fingerprints.fingerprints(docs).collect()}
+    assert alone == {r.doc_id: r.fp for r in document_fingerprints.compared(docs).collect()}

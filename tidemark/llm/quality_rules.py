@@ -161,7 +161,7 @@ ORACLE = r"""
 with d as (
   select row_number() over () as k, doc_id, coalesce(text, '') as text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) as lines
   from documents
 ), w as (
   select k, unnest(words) as word, generate_subscripts(words, 1) as pos from d
