@@ -17,7 +17,7 @@ import time
 from tidemark.catalog.context import EXPORT, Context
 from tidemark.catalog.queries import QUERIES
 from tidemark.operators import checks, compare, history
-from tidemark.plans import build, layers
+from tidemark.plans import build, layers, update
 from tidemark.session import local_session
 from tidemark.streaming.batches import BatchGate
 
@@ -62,6 +62,15 @@ def main() -> None:
     gate.complete("bench")
     timed("idle_check", lambda: gate.prepare("idle"))
     timed("rebuild_marts_and_checks", lambda: build.build(store, allow=EXPECTED))
+    late = spark._jvm.org.apache.hadoop.fs.Path(captures.rstrip("/") + "/cdc/late.csv")
+    text = "".join(f"U,customers,ecommerce,{n},P{n},00000001,moved,N1,2024-06-01 00:00:00,{10**9 + n},2024-06-01 00:00:00\n" for n in range(1, 16))
+    out = late.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(late)
+    out.write(bytearray(text.encode()))  # setup: 15 late events
+    out.close()
+    before = {r["load_id"] for r in store.loads().collect()}
+    timed("land_small_batch", lambda: store.land_pending(captures, EXPORT))
+    loads = [r["load_id"] for r in store.loads().collect() if r["load_id"] not in before]
+    timed("update_for_small_batch", lambda: update.update(store, loads, allow=EXPECTED))
 
     raw = store.raw_tables()
     marts = layers.marts_from_raw(raw)
