@@ -32,17 +32,18 @@ BROADCAST_SOURCES, BROADCAST_RATE = 10_000, 1_000.0
 
 def rates(docs: DataFrame, weights: dict[str | None, float] | None, total: int | None, power: float) -> DataFrame:
     """``source`` and its mean number of copies of a row, ``rate``."""
-    sizes = docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
+    sizes = base.stored(docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows")), "source-sizes")
     if weights is None:
         shares = sizes.withColumn("weight", F.pow(F.col("rows").cast("double"), F.lit(power)))
     else:
         given = docs.sparkSession.createDataFrame([(s, float(w)) for s, w in weights.items()], "name string, weight double")
         shares = sizes.join(given, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    sums = shares.agg(F.sum("weight").alias("weights"))
-    wanted = sizes.agg(F.lit(total).cast("double").alias("total") if total is not None else F.sum("rows").cast("double").alias("total"))
-    # Two one-row aggregates.
-    both = shares.join(F.broadcast(sums)).join(F.broadcast(wanted))
-    return both.select("source", (F.col("total") * F.col("weight") / F.col("weights") / F.col("rows")).alias("rate")).where("rate > 0")
+    # Two numbers come here; a row per source stays in its table.
+    weighed = shares.agg(F.sum("weight")).first()[0]
+    wanted = float(total if total is not None else sizes.agg(F.sum("rows")).first()[0] or 0)
+    if not weighed:
+        return shares.select("source", F.lit(0.0).alias("rate")).where("rate > 0")
+    return shares.select("source", (F.lit(wanted) * F.col("weight") / F.lit(weighed) / F.col("rows")).alias("rate")).where("rate > 0")
 
 
 def distributions(rated: DataFrame) -> DataFrame:
