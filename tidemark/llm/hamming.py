@@ -1,4 +1,4 @@
-"""Links between 64-bit fingerprints, without forming all pairs of a group.
+"""Links between distinct 64-bit fingerprints, without forming all pairs of a group.
 
 A table is a bit mask: two fingerprints meet in it when they agree on its bits.
 The caller's masks must be such that any two fingerprints within the radius meet
@@ -25,21 +25,34 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def posted(nodes: DataFrame, masks: list[int]) -> DataFrame:
-    """A row (``key``, ``node``, ``fp``) for each table; the low bits of a key hold the table's number."""
+def keys(masks: list[int]) -> list[Column]:
+    """The key of each table; its low bits hold the table's number."""
     assert len(masks) <= 32
-    keys = [
+    return [
         F.shiftleft(F.xxhash64(F.col("fp").bitwiseAND(F.lit(signed(m)))), 5).bitwiseOR(F.lit(t).cast("long"))
         for t, m in enumerate(masks)
     ]
-    return nodes.select(F.explode(F.array(*keys)).alias("key"), "node", "fp")
 
 
-def linked(postings: DataFrame, near: Callable[[Column], Column]) -> DataFrame:
-    """Postings that have a neighbour under their key; ``near`` judges the xor of two fingerprints."""
+def posted(prints: DataFrame, masks: list[int]) -> DataFrame:
+    """A row (``fp``, ``key``) for each table, in the order that lets a self-join share one exchange."""
+    return prints.select("fp", F.explode(F.array(*keys(masks))).alias("key"))
+
+
+def first_table(differ: Column, masks: list[int]) -> Column:
+    """The first table in which two fingerprints of this xor meet, else null."""
+    found = F.when(F.lit(False), 0)
+    for table, mask in enumerate(masks):
+        found = found.when(differ.bitwiseAND(F.lit(signed(mask))) == 0, table)
+    return found
+
+
+def linked(postings: DataFrame, masks: list[int], near: Callable[[Column], Column]) -> DataFrame:
+    """Postings of distinct fingerprints that have a neighbour whom they first meet there; ``near`` judges the xor of two."""
     a, b = postings.alias("a"), postings.alias("b")
     differ = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") != F.col("b.node")) & near(differ), "left_semi")
+    met = F.col("a.key").bitwiseAND(F.lit(31)) == first_table(differ, masks)
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.fp") != F.col("b.fp")) & near(differ) & met, "left_semi")
 
 
 def in_blocks(members: DataFrame) -> DataFrame:

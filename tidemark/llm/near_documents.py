@@ -93,9 +93,8 @@ def grouped(fps: DataFrame) -> DataFrame:
     known = fps.where("doc_id is not null")
     entries = known.groupBy("fp").agg(F.min("doc_id").alias("first"))
     masks = index_masks()
-    postings = hamming.posted(entries.select(F.col("fp").alias("node"), "fp"), masks)
-    members = base.stored(hamming.linked(postings, near), "near-members")
-    edges = hamming.forest(hamming.in_blocks(members), masks, RADIUS, "long")
+    members = base.stored(hamming.linked(hamming.posted(entries.select("fp"), masks), masks, near), "near-members")
+    edges = hamming.forest(hamming.in_blocks(members.withColumn("node", F.col("fp"))), masks, RADIUS, "long")
     roots = components(edges)
     joined = roots.join(entries, roots["node"] == entries["fp"]).select("node", "root", "first")
     least = joined.groupBy("root").agg(F.min("first").alias("least"))
