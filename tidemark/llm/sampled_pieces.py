@@ -24,6 +24,7 @@ length is filtered as a whole; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ SEED, SHARPNESS = 11, 1.0
 MARK = "▁"
 _LITERAL = "\udc81"  # stands for a mark in the text; lone surrogates never occur in one
 _UNITS = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-_CACHE_EDGES, _TEXTS = 6_000_000, 256
+_CACHE_EDGES, _TEXTS = 3_000_000, 256
 _PREFIX, _NOTHING, _PRIME = -1, -2, 0x9E3779B97F4A7C15
 
 
@@ -68,6 +69,7 @@ class Pieces:
         self.weights = np.zeros(size)
         self.weights[list(usual.values())] = -sharpness * np.log(np.arange(len(usual)) + 2.0)
         self.byte_weight = -sharpness * np.log(len(usual) + 2.0)
+        self.weights[self.byte_ids] = self.byte_weight
         self.longest = max(map(len, usual))
         held = dict.fromkeys((p[:n] for p in usual for n in range(1, len(p))), _PREFIX) | usual
         with np.errstate(over="ignore"):
@@ -108,14 +110,14 @@ class Pieces:
         A place is the index of a character in all units together and stands
         for its end.  Of each edge: that place, the place it comes from (-1: the
         unit's start), the id, and its share of the weight of all segmentations
-        up to its end.  An id below 0 is the character of that negative code.
+        up to its end.  An id below 0 is the character of that negative code, by its bytes.
         """
         sizes = np.fromiter(map(len, units), np.int64, len(units))
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)
         rel = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         left = np.repeat(sizes, sizes) - rel
         at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
-        starts, lengths, ids = [], [], []
+        starts, lengths, ids, ascii_ids = [], [], [], np.array(self.byte_ids[:128], np.int32)
         for n in range(1, self.longest + 1):
             fits = left[at] >= n
             at, h = at[fits], (h[fits] + codes[at[fits] + n - 1]) * np.uint64(_PRIME)
@@ -128,7 +130,8 @@ class Pieces:
                 alone = at[~piece]
                 starts.append(alone)
                 lengths.append(np.ones(len(alone), np.int64))
-                ids.append(-codes[alone].astype(np.int32))
+                code = codes[alone].astype(np.int32)
+                ids.append(np.where(code < 128, ascii_ids[np.minimum(code, 127)], -code))
             on = got != _NOTHING
             at, h = at[on], h[on]
         start, length, id_ = np.concatenate(starts), np.concatenate(lengths), np.concatenate(ids)
@@ -162,7 +165,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Sampler:
-    """Filtered units of a task, and draws from them."""
+    """Filtered units of a worker, and draws from them."""
 
     def __init__(self, pieces: Pieces, seed: int):
         self.pieces, self.seed = pieces, seed
@@ -170,8 +173,9 @@ class Sampler:
 
     def clear(self) -> None:
         self.ends: dict[str, int] = {}  # unit to its last place
-        self.places = self.edges = 0
-        self.upto, self.back, self.piece = [], [], []
+        self.first = np.zeros(0, np.int32)  # of a place's edges
+        # Of an edge: shares up to it, the place it comes from (-1: the start), its id.
+        self.upto, self.back, self.piece = np.zeros(0, np.float32), np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def learn(self, units: list[str]) -> None:
         with np.errstate(over="ignore"):
@@ -179,28 +183,26 @@ class Sampler:
         edge = np.flatnonzero(np.concatenate([[True], end[1:] != end[:-1]]))
         run = np.cumsum(share)
         run -= np.repeat(np.concatenate([[0.0], run[edge[1:] - 1]]), np.diff(np.append(edge, len(end))))
-        run = np.minimum(run, 1 - 1e-9)
-        run[np.append(edge[1:], len(end)) - 1] = 1.0
-        self.upto.append(end + self.places + run)
-        self.back.append(np.where(back >= 0, back + self.places, -1))
-        self.piece.append(piece)
-        self.ends.update(zip(units, (self.places + np.cumsum(sizes) - 1).tolist()))
-        self.places += int(sizes.sum())
-        self.edges += len(end)
+        run[np.append(edge[1:], len(end)) - 1] = 1.0  # above every draw
+        places = len(self.first)
+        self.ends.update(zip(units, (places + np.cumsum(sizes) - 1).tolist()))
+        self.first = np.concatenate([self.first, (edge + len(self.upto)).astype(np.int32)])
+        self.upto = np.concatenate([self.upto, run.astype(np.float32)])
+        self.back = np.concatenate([self.back, np.where(back >= 0, back + places, -1).astype(np.int32)])
+        self.piece = np.concatenate([self.piece, piece])
 
     def encode(self, texts: list[str], keys: np.ndarray) -> list[np.ndarray]:
         """Ids of each text; ``keys`` are unsigned 64-bit row keys."""
-        if self.edges > _CACHE_EDGES:
+        if not texts:
+            return []
+        if len(self.upto) > _CACHE_EDGES:
             self.clear()
         lists = [_UNITS.findall(MARK + t.replace(MARK, _LITERAL).replace(" ", MARK)) if t else [] for t in texts]
         new = list({u for units in lists for u in units if u not in self.ends})
         if new:
             self.learn(new)
-            for name in ("upto", "back", "piece"):
-                setattr(self, name, [np.concatenate(getattr(self, name))])
-        upto, back, piece = (x[0] if x else np.zeros(0) for x in (self.upto, self.back, self.piece))
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        now = np.fromiter((self.ends[u] for units in lists for u in units), np.int64, int(counts.sum()))
+        now = np.fromiter(map(self.ends.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
         row = np.repeat(np.arange(len(lists)), counts)
         with np.errstate(over="ignore"):
             number = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint64)
@@ -208,12 +210,16 @@ class Sampler:
             steps, who, live = [], [], np.arange(len(row))
             while len(live):
                 state = _mixed(state)
-                draw = (state >> np.uint64(12)).astype(np.float64) * 2.0**-52
-                edge = np.searchsorted(upto, now + draw, side="right")
-                steps.append(piece[edge])
+                draw = (state >> np.uint64(40)).astype(np.float32) * np.float32(2.0**-24)
+                edge = self.first[now]
+                wait = np.flatnonzero(self.upto[edge] <= draw)
+                while len(wait):
+                    edge[wait] += 1
+                    wait = wait[self.upto[edge[wait]] <= draw[wait]]
+                steps.append(self.piece[edge])
                 who.append(live)
-                now = back[edge]
-                more = now >= 0
+                now = self.back[edge]
+                more = np.flatnonzero(now >= 0)
                 live, now, state = live[more], now[more], state[more]
         lengths = np.zeros(len(row), np.int64)
         for w in who:
@@ -223,7 +229,7 @@ class Sampler:
         for step, (found, w) in enumerate(zip(steps, who)):
             out[until[w] - 1 - step] = found
         per_row = np.bincount(row, lengths, len(lists)).astype(np.int64)
-        return [self._bytes(x) for x in np.split(out, np.cumsum(per_row)[:-1])] if len(lists) else []
+        return [self._bytes(x) for x in np.split(out, np.cumsum(per_row)[:-1])]
 
     def _bytes(self, ids: np.ndarray) -> np.ndarray:
         """Characters outside the vocabulary as byte pieces."""
