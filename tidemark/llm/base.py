@@ -15,6 +15,9 @@ from tidemark.session import work_folder
 #: Columns of a documents table; stages return exactly these, extra ones are dropped.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Long texts make large batches; work on them and what comes of it is held for so many rows.
+ROWS = 1000
+
 
 def read(spark: SparkSession, folder: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
@@ -28,13 +31,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
-    """Arrow batches through a function that ``make`` builds once in each task."""
+    """Arrow batches, ``ROWS`` rows at a time, through a function that ``make`` builds once in each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
-            if batch.num_rows:
-                yield each(batch)
+            for lo in range(0, batch.num_rows, ROWS):
+                yield each(batch.slice(lo, ROWS))
 
     return df.mapInArrow(run, schema)
 

@@ -29,13 +29,13 @@ from tidemark.llm import base
 BUCKETS = 1 << 18
 GRAMS = (3, 4)
 DIM = 12
-SAMPLE_PER_CLASS = 700
-SAMPLE_CHARS = 40_000
+SAMPLE_PER_CLASS = 600
+SAMPLE_CHARS = 20_000
 FOLD, HELD_OUT, THRESHOLD = 5, 0, 0.3
 
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _REPEAT = "\x00"  # never part of a split word's text: features of a repeated word
-_CACHE_WORDS = 400_000
+_CACHE_WORDS, _WORDS_AT_ONCE = 300_000, 4_000
 
 
 def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
@@ -85,7 +85,7 @@ def _words(text: str | None) -> list[str]:
     return found
 
 
-def train(texts: list[str], labels: list[int], *, epochs: int = 6, batch: int = 32, rate: float = 4.0, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: list[int], *, epochs: int = 6, batch: int = 16, rate: float = 4.0, seed: int = 7) -> tuple[np.ndarray, float]:
     """One weight per bucket and the bias: the log odds of label 1 are the mean weight over a text's words plus the bias."""
     y = np.asarray(labels)
     if len(set(labels)) < 2:
@@ -93,10 +93,17 @@ def train(texts: list[str], labels: list[int], *, epochs: int = 6, batch: int =
     index: dict[str, int] = {}
     docs = []
     for text in texts:
-        own, counts = np.unique([index.setdefault(w, len(index)) for w in _words(text)] or [index.setdefault("", len(index))], return_counts=True)
-        docs.append((own, (counts / counts.sum()).astype(np.float32)))
-    flat, starts = word_features(list(index))
-    sizes = np.diff(starts)
+        own, often = np.unique([index.setdefault(w, len(index)) for w in _words(text)] or [index.setdefault("", len(index))], return_counts=True)
+        docs.append((own.astype(np.int32), (often / often.sum()).astype(np.float32)))
+    names, parts, counts = list(index), [], []
+    index.clear()
+    for lo in range(0, len(names), _WORDS_AT_ONCE):  # small arrays: the driver's memory is one machine's
+        ids, starts = word_features(names[lo : lo + _WORDS_AT_ONCE])
+        parts.append(ids.astype(np.int32))
+        counts.append(np.diff(starts).astype(np.int32))
+    flat, sizes = np.concatenate(parts), np.concatenate(counts)
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    del names, parts, counts
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
