@@ -38,24 +38,24 @@ RUN_IDS, MAX_RUNS = 512, 100_000
 _LAST = -(1 << 63)
 
 
-def terms(text: Column) -> Column:
-    """Hash and weight of each term."""
+def pairs(before: Column, words: Column) -> Column:
+    """Adjacent words (``0``, ``1``) of a text's ``words`` that follow the word ``before`` (null: they open it)."""
+    lead = F.concat(F.array(before), words)
+    return F.when(F.size(words) > 0, F.arrays_zip(lead.alias("0"), words.alias("1")))
 
-    def pairs(w: Column) -> Column:
-        def term(i: Column) -> Column:
-            a, b = F.get(w, i - 1), F.get(w, i)
-            weight = F.coalesce(F.char_length(a), F.lit(0)) + F.coalesce(F.char_length(b), F.lit(0))
-            return F.struct(F.xxhash64(a, b, F.lit(0)).alias("h"), weight.cast("long").alias("w"))
 
-        return F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), F.size(w)), term))
-
-    return bound(words(F.lower(text)), pairs)
+def weighted(*keys: str) -> list[Column]:
+    """Hash ``h`` and weight ``w`` of the pair ``t``, beside ``keys``; no pair has neither."""
+    a, b = F.col("t")["0"], F.col("t")["1"]
+    size = F.coalesce(F.char_length(a), F.lit(0)) + F.coalesce(F.char_length(b), F.lit(0))
+    some = F.col("t").isNotNull()
+    return [*keys, F.when(some, F.xxhash64(a, b, F.lit(0))).alias("h"), F.when(some, size.cast("long")).alias("w")]
 
 
 def voted() -> list[Column]:
-    """Sums over rows with ``t.h`` and ``t.w``: all weights, and two bits' votes in each lane pair."""
-    lanes = [F.sum(F.shiftrightunsigned("t.h", i).bitwiseAND(F.lit(0x1_0000_0001)) * F.col("t.w")).alias(f"v{i}") for i in range(32)]
-    return [F.sum("t.w").alias("all"), *lanes]
+    """Sums over rows with ``h`` and ``w``: all weights, and two bits' votes in each pair of lanes."""
+    lanes = [F.sum(F.shiftrightunsigned("h", i).bitwiseAND(F.lit(0x1_0000_0001)) * F.col("w")).alias(f"v{i}") for i in range(32)]
+    return [F.sum("w").alias("all"), *lanes]
 
 
 def majority() -> Column:
@@ -63,14 +63,16 @@ def majority() -> Column:
     for i in range(32):
         low, high = F.col(f"v{i}").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(f"v{i}", 32)
         for at, votes in ((i, low), (i + 32, high)):
-            found = found.bitwiseOR(F.when(2 * votes > F.col("all"), F.lit(hamming.signed(1 << at))).otherwise(F.lit(0).cast("long")))
+            won = F.when(2 * votes > F.col("all"), F.lit(hamming.signed(1 << at)))
+            found = found.bitwiseOR(won.otherwise(F.lit(0).cast("long")))
     return found
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id`` and ``fp`` of every row; ids must be unique here."""
-    each = docs.select("doc_id", F.explode_outer(terms(F.coalesce(text, F.lit("")))).alias("t"))
-    return each.groupBy("doc_id").agg(*voted()).select("doc_id", majority().alias("fp"))
+    split = words(F.lower(F.coalesce(text, F.lit(""))))
+    each = docs.select("doc_id", F.explode_outer(bound(split, lambda w: pairs(F.lit(None).cast("string"), w))).alias("t"))
+    return each.select(weighted("doc_id")).groupBy("doc_id").agg(*voted()).select("doc_id", majority().alias("fp"))
 
 
 def in_runs(docs: DataFrame) -> DataFrame:
@@ -99,15 +101,16 @@ def compared(docs: DataFrame) -> DataFrame:
     rows = in_runs(docs).select("*", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next"))
     n = F.char_length("text")
     third = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring(F.coalesce("next", F.lit("")), F.lit(1), third))
-    rows = rows.select("run", "place", "doc_id", "edge", n.cast("long").alias("n_chars"), "text", edited.alias("edited"))
-    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("body")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("body")))
-    rows = rows.select("run", "place", "doc_id", "edge", "n_chars", F.explode(sides).alias("s")).where("edge = 0 or s.side = 0")
-    digest = F.when(F.col("s.side") == 1, F.sha2("s.body", 256)).alias("sha")
-    rows = rows.select("run", "place", "doc_id", "edge", "n_chars", "s.side", digest, F.explode_outer(terms(F.col("s.body"))).alias("t"))
+    kept, rest = F.substring("text", F.lit(1), n - third), F.substring("text", n - third + 1, third)
+    inserted = F.substring(F.coalesce("next", F.lit("")), F.lit(1), third)
+    rows = rows.select("run", "place", "doc_id", "edge", n.cast("long").alias("n_chars"), kept.alias("kept"), rest.alias("rest"), inserted.alias("inserted"))
+    rows = rows.withColumn("digest", F.sha2(F.concat("kept", "inserted"), 256))
+    rows = rows.select("run", "place", "doc_id", "edge", "n_chars", "digest", F.explode(_sides()).alias("p")).where("edge = 0 or p.side = 0")
+    digest = F.when(F.col("p.side") == 1, F.col("digest")).alias("sha")
+    rows = rows.select("run", "place", "doc_id", "edge", "n_chars", "p.side", digest, F.explode_outer("p.pairs").alias("t"))
     # Runs are whole in their partition, so these groups need no exchange.
-    votes = rows.groupBy("run", "place", "side", "doc_id", "edge", "n_chars", "sha").agg(*voted())
-    found = votes.select("run", "place", "side", "doc_id", "edge", "n_chars", "sha", majority().alias("fp"))
+    keys = ("run", "place", "side", "doc_id", "edge", "n_chars", "sha")
+    found = rows.select(weighted(*keys)).groupBy(*keys).agg(*voted()).select(*keys, majority().alias("fp"))
     by = Window.partitionBy("run").orderBy("place", "side")
     found = found.select(
         "*",
@@ -118,6 +121,26 @@ def compared(docs: DataFrame) -> DataFrame:
     return found.where("edge = 0 and side = 0").select("doc_id", "n_chars", "edited_sha256", "fp", "edited_fp", "next_fp")
 
 
+def _sides() -> Column:
+    """Pairs of the text (side 0) and of the edited text (1).
+
+    Both texts begin with ``kept``; its words but the last, which either text
+    may continue, are the same in both and are split once.
+    """
+    gap = F.when(F.col("kept").rlike("[ \\t-\\r]$"), F.lit(" ")).otherwise(F.lit(""))
+
+    def of(w: Column) -> Column:
+        shared = F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))
+        last = F.coalesce(F.get(w, F.size(w) - 1), F.lit(""))
+
+        def whole(text: str) -> Column:
+            return bound(F.concat(shared, words(F.concat(last, gap, F.lower(text)))), lambda x: pairs(F.lit(None).cast("string"), x))
+
+        return F.array(*(F.struct(F.lit(side).alias("side"), whole(text).alias("pairs")) for side, text in ((0, "rest"), (1, "inserted"))))
+
+    return bound(words(F.lower("kept")), of)
+
+
 def likeness(a: str, b: str) -> Column:
     return 1 - F.bit_count(F.col(a).bitwiseXOR(F.col(b))) / F.lit(64.0)
 
@@ -127,10 +150,7 @@ def neighbours(queries: DataFrame, entries: DataFrame) -> DataFrame:
     q = hamming.posted(queries, MASKS).select("key", F.col("fp").alias("query"))
     e = hamming.posted(entries, MASKS)
     differ = F.col("query").bitwiseXOR(F.col("fp"))
-    first = F.when(F.lit(False), -1)
-    for table, mask in enumerate(MASKS):
-        first = first.when(differ.bitwiseAND(F.lit(hamming.signed(mask))) == 0, table)
-    pairs = q.join(e, (q["key"] == e["key"]) & (F.bit_count(differ) <= RADIUS) & (q["key"].bitwiseAND(F.lit(31)) == first))
+    pairs = q.join(e, (q["key"] == e["key"]) & (F.bit_count(differ) <= RADIUS) & (q["key"].bitwiseAND(F.lit(31)) == hamming.first_table(differ, MASKS)))
     return pairs.select("query", "fp").join(entries, "fp")
 
 
@@ -145,7 +165,9 @@ def query(spark, folder: str) -> DataFrame:
     asked = F.coalesce(F.col("doc_id") % 100 == 0, F.lit(False))
     pairs = neighbours(rows.where(asked).select("fp").distinct(), entries)
     near = pairs.groupBy("query").agg(F.sum("rows").alias("found"))
-    joined = rows.withColumn("asked", F.when(asked, F.col("fp"))).join(near, F.col("asked") == F.col("query"), "left")
+    # Rows that ask nothing take no part in the join.
+    answered = rows.where(asked).join(near, F.col("fp") == F.col("query")).select(*rows.columns, "found")
+    joined = answered.union(rows.where(~asked).select("*", F.lit(None).cast("long").alias("found")))
     return joined.select(
         "doc_id",
         "n_chars",
