@@ -233,6 +233,22 @@ def test_line_dedup(spark, folders):
     assert Counter((r.doc_id, r.text, r.n_removed) for r in got) == expected
 
 
+def test_line_dedup_finds_what_the_edit_check_alone_links(spark):
+    letters = np.random.default_rng(8)
+    word = lambda: "".join(letters.choice(list("abcdefgh"), 6))
+    lines = []
+    for n in (5, 6, 8, 12, 13, 20, 50):
+        for at in (0, n // 2, n - 1):
+            line = [word() for _ in range(n)]
+            lines += [" ".join(line), " ".join([*line[:at], word(), *line[at + 1 :]])]
+    links = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines)) if line_dedup.similar(lines[i], lines[j])]
+    assert len(links) >= 18 and all(i % 2 == 0 and j == i + 1 for i, j in links)
+    rows = [(i, x, "en", "web", len(x)) for i, x in enumerate(lines)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in line_dedup.deduplicated(docs).where("text = ''").collect()}
+    assert got == {j for _, j in links}
+
+
 def test_edits_are_levenshtein():
     rng = np.random.default_rng(2)
 
