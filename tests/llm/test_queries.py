@@ -104,6 +104,20 @@ def test_license_template_with_changes_is_covered():
     assert scanner.scan(b"this software is free to use")["labels"] == ""
 
 
+def test_every_license_notice_is_a_span():
+    scanner = license_scan.Scanner()
+    notice = next(t for label, t in license_scan.TEMPLATES if label == "bsd")
+    for between in (" ", " Some words of another kind stand here and there between both of them now. "):
+        spans = scanner.scan(between.join([notice] * 10).encode())["spans"]
+        assert [s["last"] - s["first"] + 1 for s in spans] == [len(notice.split())] * 10
+        assert {(s["label"], s["coverage"]) for s in spans} == {("bsd", 1.0)}
+    words = notice.split()
+    # Three of its words out of order inside, twice, do not end the notice.
+    broken = " ".join([*words[:8], *words[:3], *words[8:14], *words[:3], *words[14:]])
+    found = scanner.scan(f"{broken}. {broken}".encode())
+    assert found["labels"] == "bsd" and len(found["spans"]) == 2
+
+
 def edited(texts):
     """Texts in order of their rows and the edited ones."""
     out = []

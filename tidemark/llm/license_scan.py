@@ -5,7 +5,10 @@ A text streams through it word by word; at each word it knows the longest run
 ending there that stands in some template (the matching statistics).  Runs that
 cannot be longer are chained, template by template, in the order of both text
 and template with bounded gaps; the share of a template that a chain covers is
-its coverage, and a coverage of at least ``COVERED`` gives the template's label.
+its coverage.  Every chain with a coverage of at least ``COVERED`` is a span and
+gives the template's label; of chains that overlap the one that covers most, then
+the first, is the span.  A run that does not extend a chain begins one beside it,
+and a chain stays open for ``MOST_GAP`` words.
 
 Words are maximal runs of ASCII digits and letters (A-Z lower-cased) and all
 characters beyond ASCII.  Words of no template reset the automaton, so only
@@ -163,8 +166,7 @@ class Scanner:
         for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if hi - lo >= LEAST_RUN:
                 self._walk(ids[lo:hi].tolist(), lo, places, chains)
-        best = max((c for c, *_ in chains.best.values()), default=0.0)
-        spans = sorted({(lo, hi, self.labels[n], c) for n, (c, lo, hi) in chains.best.items() if c >= COVERED})
+        spans = sorted({(lo, hi, self.labels[n], c) for n, c, lo, hi in chains.spans()})
         base_labels = {label for _, label in places}
         starts = [p for p, _ in places]
         return {
@@ -174,7 +176,7 @@ class Scanner:
             "last_word": max(starts, default=None),
             "base_labels": ",".join(sorted(base_labels)),
             "labels": ",".join(sorted(base_labels | {s[2] for s in spans})),
-            "score": 1.0 if places else best,
+            "score": 1.0 if places else chains.best,
             "spans": [{"label": label, "first": lo, "last": hi, "coverage": c} for lo, hi, label, c in spans],
         }
 
@@ -193,29 +195,46 @@ class Scanner:
 
 
 class Chains:
-    """For each template the chain of runs in hand and the best coverage so far, in one pass over the text."""
+    """For each template the open chains of runs and all that covered enough, in one pass over the text."""
 
     def __init__(self, sizes: list[int]):
         self.sizes = sizes
-        self.now: dict[int, tuple[int, int, int, int]] = {}  # first word, last word, last place, covered
-        self.best: dict[int, tuple[float, int, int]] = {}
+        self.now: dict[int, list[tuple[int, int, int, int]]] = {}  # first word, last word, last place, covered
+        self.best = 0.0
+        self.full: dict[int, list[tuple[float, int, int]]] = {}
 
     def add(self, template: int, last: int, size: int, end: int) -> None:
-        first, covered = last + 1 - size, size
-        held = self.now.get(template)
-        if held is not None:
-            start, text_end, place, had = held
+        first = last + 1 - size
+        # Chains whose gap is too wide are closed: later runs begin no earlier than this one.
+        held = [c for c in self.now.get(template, ()) if first - c[1] <= MOST_GAP]
+        made = [(first, size)]
+        for start, text_end, place, had in held:
             gained = min(size, end - place)
-            if last > text_end and gained > 0 and first - text_end <= MOST_GAP and end - size - place <= MOST_GAP:
+            if last > text_end and gained > 0 and end - size - place <= MOST_GAP:
                 # Words that overlap the chain, in text or template, count once.
-                gained = min(gained, last - text_end)
-                first, covered = start, had + gained
-            elif last == text_end and had >= size:
-                return
-        self.now[template] = (first, last, end, covered)
-        share = min(1.0, covered / self.sizes[template])
-        if share > self.best.get(template, (0.0,))[0]:
-            self.best[template] = (share, first, last)
+                made.append((start, had + min(gained, last - text_end)))
+        most = 0
+        for start, covered in sorted(made, reverse=True):
+            if covered > most:  # else a later start covers as much up to the same place
+                most = covered
+                held.append((start, last, end, covered))
+                share = min(1.0, covered / self.sizes[template])
+                self.best = max(self.best, share)
+                if share >= COVERED:
+                    self._keep(template, share, start, last)
+        self.now[template] = held
+
+    def _keep(self, template: int, share: float, first: int, last: int) -> None:
+        """Chains end in text order, so only the last ones kept can overlap a new one; it takes the place of one, never of two."""
+        full = self.full.setdefault(template, [])
+        at = len(full)
+        while at and full[at - 1][2] >= first:
+            at -= 1
+        if len(full) - at < 2 and all(share > c for c, *_ in full[at:]):
+            full[at:] = [(share, first, last)]
+
+    def spans(self) -> list[tuple[int, float, int, int]]:
+        return [(template, *span) for template, full in self.full.items() for span in full]
 
 
 def scanned(docs: DataFrame, templates=None) -> DataFrame:
