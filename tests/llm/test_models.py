@@ -78,6 +78,29 @@ def test_one_class_alone_decides_nothing(spark, tmp_path):
     assert {r.score for r in toxicity.query(spark, str(tmp_path)).collect()} == {0.0}
 
 
+def test_toxic_phrases_of_ordinary_words_count():
+    import random
+
+    rng = random.Random(4)
+    pool = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(300)]
+    texts, marks = [], []
+    for i in range(240):
+        words = rng.choices(pool, k=80)
+        for _ in range(6 if i % 2 else 0):
+            at = rng.randrange(79)
+            words[at : at + 2] = pool[:2]
+        texts.append(" ".join([*words, *pool[:1], *pool[5:9], *pool[1:2]]))  # either word is in every row
+        marks.append(i % 2)
+    score = toxicity.scorer(toxicity.train(texts[:160], marks[:160]))
+    assert auc(score(texts[160:]), np.array(marks[160:])) > 0.9
+
+
+def test_without_a_marking_term_whole_toxic_windows_are_learned():
+    texts, marks = [f"some plain words {i}" for i in range(4)] + ["rude words here to be learned", "another rude line of words"], [0] * 4 + [1] * 2
+    assert toxicity._marked([toxicity.windows(t) for t in texts], marks) == [t.encode() for t in texts[4:]]
+    assert toxicity.scorer(toxicity.train(texts, marks))(texts[4:5])[0] > 0
+
+
 def test_the_sample_is_bounded(spark, tmp_path):
     texts, marks = corpus("quality", 60)
     written(spark, str(tmp_path), texts, marks, "quality")

@@ -3,9 +3,10 @@
 Two zstandard dictionaries are trained, one on windows of toxic rows and one on
 windows of ordinary rows.  A window's gain is how many bytes fewer it takes
 with the toxic dictionary.  Toxic rows are mostly ordinary prose, so the toxic
-dictionary is trained on the runs of terms in them that are met in clearly more
-toxic than ordinary rows and among varying neighbours (a term that only copies
-of one text carry marks that text, not a tone); inflected forms match in part.
+dictionary is trained on the runs of words and pairs of neighbours in them that
+are met in clearly more toxic than ordinary rows and after varying words (what
+only copies of one text carry marks that text, not a tone); inflected forms
+match in part.  Where nothing is, it is trained on the whole toxic windows.
 Its content goes before the ordinary dictionary's, in place of further ordinary
 content, so both treat ordinary text alike and a gain means a toxic match.  A text's score is a logistic function, fitted on
 labelled rows, of how its window gains are distributed.
@@ -16,8 +17,7 @@ numbers travel to the tasks.
 
 Edge cases: a null or empty text has no window and scores the prior of a text
 without toxic windows; repeated rows score alike; a null id stays null; extra
-columns are ignored; without labelled rows of both classes, or a term that tells
-them apart, all scores are 0.
+columns are ignored; without labelled rows of both classes all scores are 0.
 """
 
 from __future__ import annotations
@@ -33,10 +33,10 @@ from tidemark.llm import base
 
 WORDS, LEVEL, MATCH, DICTIONARY = 10, 13, 4, 8192
 #: A term marks a window for training from this many toxic rows and these log odds on,
-#: if it has so many different words before it for each row.
-MARK_ROWS, MARK_ODDS, MARK_SPREAD = 3, 3.0, 0.7
-#: and from this share of the toxic rows on.
-MARK_SHARE = 0.01
+#: if it has so many different runs of ``BEFORE`` words before it for each row: copies of one text have the same.
+MARK_ROWS, MARK_ODDS, MARK_SPREAD, BEFORE = 3, 3.0, 0.7, 3
+#: A pair of neighbours, of which there are many more, from so many rows on.
+PAIR_ROWS = 6
 EDGES = b".,;:!?()'*#$%&|\""
 SEGMENT, TABLES = 24, 512
 SAMPLE_PER_CLASS = 1_500
@@ -55,21 +55,29 @@ def windows(text: str | None) -> list[bytes]:
 
 
 def _marked(cut: list[list[bytes]], labels: list[int]) -> list[bytes]:
-    """Of each toxic row, the terms that mark toxic rows, in runs of ``WORDS``."""
+    """Of each toxic row, the words of terms and pairs of neighbours that mark toxic rows, in runs of ``WORDS``; without any, its windows."""
+    split = [[x.strip(EDGES) for window in found for x in window.split()] for found in cut]
     rows, beside = (Counter(), Counter()), {}
-    for found, label in zip(cut, labels):
-        words = [w.strip(EDGES) for window in found for w in window.split()]
-        rows[label].update(set(words))
-        if label:
-            for before, word in zip([b"", *words], words):
-                beside.setdefault(word, set()).add(before)
+    for words, label in zip(split, labels):
+        rows[label].update({w for w in words if len(w) > 2} | set(zip(words, words[1:])))
     total = [labels.count(0) + 1, labels.count(1) + 1]
-    marks = set()
     for term, n in rows[1].items():
         odds = np.log((n + 0.5) / total[1]) - np.log((rows[0][term] + 0.5) / total[0])
-        if n >= max(MARK_ROWS, MARK_SHARE * total[1]) and odds >= MARK_ODDS and len(beside[term]) >= MARK_SPREAD * n and len(term) > 2:
-            marks.add(term)
-    held = [[t for w in found for x in w.split() if (t := x.strip(EDGES)) in marks] for found, label in zip(cut, labels) if label]
+        if n >= (MARK_ROWS if isinstance(term, bytes) else PAIR_ROWS) and odds >= MARK_ODDS:
+            beside[term] = set()
+    for words in (w for w, label in zip(split, labels) if label):
+        for i, word in enumerate(words):
+            for term in (word, (word, *words[i + 1 : i + 2])):
+                if term in beside:
+                    beside[term].add(tuple(words[max(0, i - BEFORE) : i]))
+    marks = {term for term, found in beside.items() if len(found) >= MARK_SPREAD * rows[1][term]}
+    held = []
+    for words, label in zip(split, labels):
+        if label:
+            pairs = [p in marks for p in zip(words, words[1:])]
+            held.append([w for w, before, after in zip(words, [False, *pairs], [*pairs, False]) if before or after or w in marks])
+    if not any(held):
+        return [w for found, label in zip(cut, labels) if label for w in found]
     return [b" ".join(t[i : i + WORDS]) for t in held for i in range(0, len(t), WORDS)]
 
 
@@ -120,7 +128,7 @@ def train(texts: list[str], labels: list[int]):
     cut = [windows(t) for t in texts]
     ordinary = [w for t, label in zip(cut, labels) if label == 0 for w in t]
     plain, rude = _trained(ordinary), _trained(_marked(cut, labels))
-    if len(rude) < 8:  # no term marks the toxic rows
+    if len(rude) < 8:  # next to no toxic text
         return None
     rude, plain = rude + plain, _trained(ordinary[::2])[-len(rude) :] + plain
     here, there = _compressor(rude), _compressor(plain)
