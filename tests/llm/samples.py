@@ -4,7 +4,7 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use inside; they must not collide with a table's further columns.
-CLASHING = "fp long, node string, key string, copies int, shard long, run long, place int, words string, label int, score double, _id long"
+CLASHING = "fp long, node string, key string, copies int, shard long, run long, place int, words string, label int, score double, _id long, block long, ids string, owner long, pairs int"
 
 
 def prose(rng: random.Random, words: int) -> str:
@@ -40,3 +40,15 @@ def rows() -> list[tuple]:
 
 def labels() -> list[tuple]:
     return [(r[0], int(i % 4 != 0), int(i % 5 == 0)) for i, r in enumerate(rows()) if r[0] is not None and i < 40] + [(None, 1, 0), (3, None, None)]
+
+
+def vectors() -> list[tuple]:
+    """Vectors of 32 components with nulls, non-finite ones, ties, repeats and negative zeros."""
+    rng = random.Random(9)
+    made = [[round(rng.gauss(0, 0.3), 4) for _ in range(32)] for _ in range(150)]
+    out = [(i * 3 - 20, v, i % 4 if i % 5 else None) for i, v in enumerate(made)]
+    out += [out[4], (out[5][0], made[7], 1), (-500, [0.0] * 32, 2), (-499, [-0.0] * 32, 2)]
+    out += [(900 + i, [x / 256 for x in [i, -i] * 16], None) for i in range(4)]  # ties between entries
+    out += [(1000, None, 1), (1001, [float("nan")] + [0.0] * 31, 1), (1002, [None] + [0.0] * 31, 1), (1003, [float("inf")] * 32, 1)]
+    out += [(None, made[9], None), (1004, [0.5] * 16, 3), (1005, [70000.0] * 32, 3)]
+    return out

@@ -30,6 +30,9 @@ def test_clashing_columns_change_nothing_and_empty_tables_pass(spark, folders, n
 def test_sql_twins(spark, folders, name):
     db = duckdb.connect()
     db.execute(f"create view documents as select * from '{folders['plain']}/documents.parquet/*.parquet'")
+    # What the operator drops besides and the twin does not know of.
+    usable = "where len(embedding) = 32 and list_max(list_transform(embedding, lambda x: abs(x))) < 65536 or embedding is null"
+    db.execute(f"create view embeddings as select * from '{folders['plain']}/embeddings.parquet/*.parquet' {usable}")
     result = db.execute(queries.ORACLE[name])
     columns = [c[0] for c in result.description]
     theirs = sorted((tuple(sorted(zip(columns, r), key=lambda x: x[0])) for r in result.fetchall()), key=repr)

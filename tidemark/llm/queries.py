@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tidemark.llm import (
+    byte_pairs,
+    cross_tokens,
     document_fingerprints,
     license_scan,
     line_dedup,
@@ -13,6 +15,7 @@ from tidemark.llm import (
     source_mix,
     token_files,
     toxicity,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,10 +29,14 @@ QUERIES = {
     "op8_source_mix": source_mix.query,
     "op9_quality_classifier": quality_classifier.query,
     "op10_simhash_near_dedup": near_documents.query,
+    "op11_cross_tokens": cross_tokens.query,
+    "op12_byte_pairs": byte_pairs.query,
+    "op13_vector_codes": vector_codes.query,
 }
 
 #: DuckDB twins of the queries that SQL expresses.
 ORACLE: dict[str, str] = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op8_source_mix": source_mix.ORACLE,
+    "op13_vector_codes": vector_codes.ORACLE,
 }
