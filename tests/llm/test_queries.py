@@ -171,11 +171,10 @@ def test_masks_meet_every_pair_within_the_radius():
     for same in combinations(range(8), 4):  # four equal bytes, the fewest
         equal = sum(0xFF << 8 * i for i in same)
         assert any(m & ~equal == 0 for m in triples)
-    for masks, radius in ((document_fingerprints.MASKS, document_fingerprints.RADIUS), (line_dedup.MASKS, line_dedup.RADIUS)):
-        rng = np.random.default_rng(1)
-        for _ in range(500):
-            flipped = sum(1 << int(b) for b in rng.choice(64, radius, replace=False))
-            assert any(m & flipped == 0 for m in masks)
+    rng = np.random.default_rng(1)
+    for _ in range(500):
+        flipped = sum(1 << int(b) for b in rng.choice(64, document_fingerprints.RADIUS, replace=False))
+        assert any(m & flipped == 0 for m in document_fingerprints.MASKS)
 
 
 def test_token_files(spark, folders):
@@ -213,19 +212,18 @@ def test_token_files_round_trip_and_lookup(spark, folders, tmp_path):
 
 
 def test_line_dedup(spark, folders):
-    hashes = line_dedup.hasher()
     rows = {(r[0], xxhash.xxh64_intdigest((r[1] or "").encode(), 42)): r for r in plain_rows() if r[1] is not None}
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     order = sorted(rows, key=lambda k: (k[0] is not None, k[0] or 0, signed(k[1])))
     occurrences, lines = [], {}
     for k in order:
         for n, words in enumerate(line_dedup.normal_lines(rows[k][1])):
-            if len(words) >= line_dedup.MIN_WORDS:
+            if line_dedup.counts(words):
                 text = b" ".join(words).decode()
                 occurrences.append((k, n, text))
                 lines.setdefault(text, words)
     names = list(lines)
-    prints = hashes([lines[t] for t in names])
+    prints = line_dedup.searcher()([lines[t] for t in names])[0]
     group = {t: {t} for t in names}
     for i, a in enumerate(names):
         for j in range(i):
@@ -266,6 +264,38 @@ def test_line_dedup_finds_what_the_edit_check_alone_links(spark):
     assert got == {j for _, j in links}
 
 
+def test_line_dedup_cuts_long_lists(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "LONG_LIST", 8)
+    monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    letters = np.random.default_rng(9)
+    word = lambda: "".join(letters.choice(list("abcdefgh"), 7))
+    # One run of three words stands in every line; every third line has a near copy, and one has very many.
+    lines = [" ".join([*(word() for _ in range(6)), "commonly", "repeated", "passage", *(word() for _ in range(5))]) for _ in range(60)]
+    copies = [line[:-3] + "xyz" for line in lines[::3]] + [lines[1][:-2] + f"{a}{b}" for a in "abcdefg" for b in "abcdefg"]
+    short = ["您好世界" * 6, "您好世界" * 6, "one two", "one two"]  # the former count by their bytes
+    rows = [(i, x, "en", "web", len(x)) for i, x in enumerate(lines + copies + short)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id for r in line_dedup.deduplicated(docs).where("text = ''").collect()}
+    n = len(lines) + len(copies)
+    assert got == {*range(len(lines), n), n + 1}
+
+
+def test_highest_places_are_those_of_some_window():
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(0, 40, 60)
+    scores = rng.integers(0, 1 << 40, int(sizes.sum())).astype(np.uint64)
+    got, at = set(line_dedup._highest(scores, sizes).tolist()), 0
+    for size in sizes.tolist():
+        width = 1
+        while width * 2 <= size // 2:
+            width *= 2
+        for lo in range(at, at + size - width + 1):
+            assert lo + int(scores[lo : lo + width].argmax()) in got
+        assert sum(at <= i < at + size for i in got) <= max(1, size - width + 1) if size else True
+        at += size
+    assert len(got) < 0.6 * len(scores)
+
+
 def test_edits_are_levenshtein():
     rng = np.random.default_rng(2)
 
@@ -281,6 +311,8 @@ def test_edits_are_levenshtein():
     for _ in range(300):
         a, b = ("".join(rng.choice(list("abc"), rng.integers(0, 15))) for _ in "ab")
         assert line_dedup.edits(a, b) == plain(a, b)
+        most = int(rng.integers(0, 8))
+        assert (line_dedup.edits(a, b, most) <= most) == (plain(a, b) <= most)
 
 
 def near_fingerprint(text):

@@ -30,6 +30,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(target)
 
 
+def held(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, for what is not needed to the end."""
+    target = work_folder(df.sparkSession, purpose)
+    df.write.option("compression", "zstd").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target), target
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Removes a folder that ``held`` has written; nothing that is still to run may read it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Arrow batches, ``ROWS`` rows at a time, through a function that ``make`` builds once in each task."""
 

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import base
 from tidemark.llm.memo import CHUNKS, Memo, Ragged
 
-BLOCK_CHARS = 24 << 20
-_CACHE_CHUNKS, _TOGETHER = 400_000, 1000
+BLOCK_CHARS = 16 << 20
+_CACHE_CHUNKS, _TOGETHER = 250_000, 1000
 #: Longer chunks are aligned each time they occur.
 _LONG = 200
 
