@@ -16,10 +16,10 @@ from tidemark import contract
 from tidemark.catalog import oracle
 from tidemark.catalog.context import EXPORT, Context, present
 from tidemark.functions import casts, identity
-from tidemark.operators import changelog, checks, compare, delivery, history, joins, profiles, skew
+from tidemark.operators import changelog, checks, compare, delivery, history, intervals, joins, profiles, skew
 from tidemark.plans import build, layers, lifecycle, publish, update
 from tidemark.session import work_folder
-from tidemark.sources import baseline, capture, records, sinks, warehouse
+from tidemark.sources import baseline, capture, records, sinks, sketches, warehouse
 from tidemark.streaming import batches, ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1053,16 +1053,28 @@ def nothing_pending_after_landing(c: Context) -> DataFrame:
     return c.landed.pending(manifest).agg(F.count(F.lit(1)).alias("pending"))
 
 
-@query("select count(*) as violations, count(distinct customer_id) as keys from raw_customers where _source_order % 3 = 1")
+_WIDENED = {"customers": "city", "orders": "status", "order_items": "product_id", "order_payments": "payment_type"}
+
+
+@query(
+    " union all ".join(
+        f"select '{t}' as source_table, count(*) as violations, count(distinct {contract.primary_key(t)}) as keys"
+        f" from raw_{t} where _source_order % 3 = 1"
+        for t in contract.TABLES
+    )
+)
 def raw_width_violations(c: Context) -> DataFrame:
-    """Values widened in a third of the rows are found, and nothing else."""
-    for table in contract.TABLES:
+    """Values widened in a third of every table's rows are found, and nothing else."""
+    parts = []
+    for table, column in _WIDENED.items():
         warehouse.assert_raw_schema(c.landed.raw(table), table)
-    raw = c.landed.raw("customers")
-    wide = F.when(F.col("_source_order") % 3 == 1, F.repeat(F.lit("é"), contract.SOURCE_WIDTH + 1))
-    planted = raw.withColumn("city", F.coalesce(wide, F.repeat(F.lit("é"), contract.SOURCE_WIDTH)))
-    found = warehouse.too_wide(planted, "customers")
-    return found.agg(F.count(F.lit(1)).alias("violations"), F.countDistinct("customer_id").alias("keys"))
+        raw = c.landed.raw(table)
+        wide = F.when(F.col("_source_order") % 3 == 1, F.repeat(F.lit("é"), contract.SOURCE_WIDTH + 1))
+        planted = raw.withColumn(column, F.coalesce(wide, F.repeat(F.lit("é"), contract.SOURCE_WIDTH)))
+        found = warehouse.too_wide(planted, table)
+        keys = F.countDistinct(contract.primary_key(table)).alias("keys")
+        parts.append(found.agg(F.lit(table).alias("source_table"), F.count(F.lit(1)).alias("violations"), keys))
+    return profiles.union_tables(parts)
 
 
 _PLANTED = ("_hidden", "old", "plain", "wide", "unclosed")
@@ -1197,3 +1209,146 @@ def streamed_orders(c: Context) -> DataFrame:
 def history_of_landed_captures(c: Context) -> DataFrame:
     """Captures to history end to end; copies now sit in other files."""
     return layers.marts_from_raw(c.landed.raw_tables())["dim_customer_history"]
+
+
+# Records of publications, batches that fail, sketches, ranges and intervals --------------------------
+
+
+@query("select * from fct_orders")
+def update_finds_omitted_load(c: Context) -> DataFrame:
+    """Marts of the first of three loads; an update that leaves one out is refused, then folds in all that is missing."""
+    store = c.new_warehouse()
+    files = [(r["path"], r["size"]) for r in capture.capture_manifest(c.spark, c.captures).collect()]
+    loads = [store.land(files[n::3], c.captures, EXPORT).load_id for n in range(3)]
+    allow = ("relationships",)
+    build.build(store, allow=allow, loads=loads[:1])
+    try:
+        update.update(store, loads[2:], allow=allow)
+        raise AssertionError("a load was left out without a word")
+    except update.OmittedLoad:
+        update.update(store, allow=allow)
+    if update.missing_loads(store):
+        raise AssertionError("loads are still missing")
+    return publish.read_mart(store, "fct_orders")
+
+
+def _put_changes(c: Context, root: str, part: int) -> None:
+    """Customer changes of every third customer number, as one more capture file."""
+    own = c.stored_raw["customers"].filter("not _is_snapshot and _source_file not like '%replay%'")
+    own = own.filter(F.col("customer_id").cast("int") % 3 == part)
+    tail = [F.col("_source_order").cast("string").alias("_seq"), F.col("updated_at").alias("_at")]
+    lead = [F.col("_op").alias("_lead"), F.lit("customers").alias("_table"), F.lit("ecommerce").alias("_schema")]
+    rows = own.select(*lead, *contract.source_columns("customers"), *tail).coalesce(1)
+    rows.write.mode("append").options(**sinks._csv_options(EXPORT.null_token)).csv(f"{root}/{EXPORT.change_dir}")
+
+
+@query(
+    """select * from (with part as (select *, cast(customer_id as int) % 3 as p from cdc_customers where cast(customer_id as int) % 3 < 2),
+       live as (select p, count(*) as n from (select p, customer_id, arg_max(_op, _source_order) as op from part group by p, customer_id)
+                where op <> 'D' group by p),
+       sums as (select count(*) filter (where p = 0) as first, count(*) as every,
+                  count(*) filter (where p = 0 and _source_order % 5 = 2) as broken from part)
+       select 1 as step, true as ran, first as raw_rows, broken as violations, cast(0 as bigint) as customers from sums
+       union all select 2, true, first, 0, (select coalesce(sum(n), 0) from live where p = 0) from sums
+       union all select 3, false, first, 0, (select coalesce(sum(n), 0) from live where p = 0) from sums
+       union all select 4, true, every, 0, (select coalesce(sum(n), 0) from live) from sums)"""
+)
+def gated_batches(c: Context) -> DataFrame:
+    """A violation chosen by the table stops a build and publishes nothing; the retry lands nothing twice;
+    an unchanged listing is skipped; a new file runs again."""
+    store, root = c.new_warehouse(), work_folder(c.spark, "gated")
+    parts = []
+
+    def run(step: int, broken: bool) -> None:
+        violations = 0
+
+        def make(store: warehouse.Warehouse) -> None:
+            raw = store.raw_tables()
+            if broken:
+                key = F.when(F.col("_source_order") % 5 != 2, F.col("customer_id"))
+                build.build(store, {**raw, "customers": raw["customers"].withColumn("customer_id", key)}, allow=("relationships",))
+            else:
+                build.build(store, allow=("relationships",))
+
+        try:
+            ran = batches.run_batch(store, root, f"run {step}", make, EXPORT) is not None
+        except checks.CheckFailure as failure:
+            ran = True
+            violations = sum(r["violations"] for r in failure.failures if r["check"] == "required_source_key")
+        customers = F.lit(0).cast("long")
+        if publish.current_versions(store):
+            customers = F.lit(publish.read_mart(store, "dim_customers").count())
+        counted = store.raw("customers").agg(F.count(F.lit(1)).alias("raw_rows")).first()["raw_rows"]
+        row = [F.lit(step).alias("step"), F.lit(ran).alias("ran"), F.lit(counted).alias("raw_rows")]
+        parts.append(c.spark.range(1).select(*row, F.lit(violations).cast("long").alias("violations"), customers.alias("customers")))
+
+    _put_changes(c, root, 0)
+    for step, broken in ((1, True), (2, False), (3, False)):
+        run(step, broken)
+    _put_changes(c, root, 1)
+    run(4, False)
+    return profiles.union_tables(parts)
+
+
+@query(
+    _per_table(
+        """select '{t}' as source_table, count(distinct _event_id) as unique_events, true as events_within,
+             true as people_within from raw_{t}"""
+    )
+)
+def distinct_estimates(c: Context) -> DataFrame:
+    """Sketches kept by load, merged, within four standard errors of the exact counts of events and people."""
+    sketches.refresh(c.landed)
+    if sketches.refresh(c.landed):
+        raise AssertionError("a load was sketched twice")
+    guessed = sketches.estimates(c.landed).withColumnsRenamed({"unique_events": "_events", "people": "_people", "source_table": "_of"})
+    parts = []
+    for table in contract.TABLES:
+        raw = c.landed.raw(table)
+        people = F.countDistinct("customer_unique_id") if table == "customers" else F.lit(0).cast("long")
+        parts.append(raw.agg(F.lit(table).alias("source_table"), F.countDistinct("_event_id").alias("unique_events"), people.alias("people")))
+    exact = profiles.union_tables(parts)
+
+    def within(estimate: str, count: str):
+        return F.abs(F.col(estimate) - F.col(count)) <= 4 * sketches.STANDARD_ERROR * F.col(count)
+
+    joined = exact.join(guessed, F.col("source_table") == F.col("_of"))
+    return joined.select(
+        "source_table", "unique_events", within("_events", "unique_events").alias("events_within"), within("_people", "people").alias("people_within")
+    )
+
+
+@query(
+    """select order_id, case when cast(order_id as bigint) % 500 = 3 then 'changed' else 'missing_in_target' end as kind
+       from cur_orders where cast(order_id as bigint) % 500 in (3, 7)"""
+)
+def mismatched_keys_by_range(c: Context) -> DataFrame:
+    """A few changed and lost orders, found through checksums of ranges kept beside the source."""
+    orders, number = c.stored_live["orders"], F.col("order_id").cast("long") % 500
+    other = F.when(number == 3, F.lit("else")).otherwise(F.col("status"))
+    target = orders.filter(number != 7).withColumn("status", other)
+    columns = contract.source_columns("orders")
+    folder = work_folder(c.spark, "range-sums")
+    compare.range_sums(orders, "order_id", columns).write.parquet(folder)
+    found = compare.mismatches_by_range(orders, target, "order_id", columns, known=c.spark.read.parquet(folder))
+    return found.select("order_id", "kind")
+
+
+@query(
+    """with loads as (
+         select 'table-' || (user_id % 4) as source_table, min(ts) + to_days(cast(k as integer)) as load_start,
+           min(ts) + to_days(cast(k as integer)) + interval 30 hour as load_end
+         from events cross join (values (0), (1), (1), (9)) r(k) where user_id % 4 < 3 group by user_id % 4, k)
+       select e.event_id, 'table-' || (e.user_id % 4) as source_table,
+         exists (select 1 from loads l where l.source_table = 'table-' || (e.user_id % 4)
+                 and l.load_start < e.ts and e.ts + interval 1 minute < l.load_end) as inside_load
+       from events e"""
+)
+def commits_inside_several_loads(c: Context) -> DataFrame:
+    """Loads that overlap, repeat and leave gaps, several of each table but one."""
+    commits = _commits(c)
+    first = commits.filter("source_table <> 'table-3'").groupBy("source_table").agg(F.min("before_commit").alias("_first"))
+    days = first.withColumn("_day", F.explode(F.array(*[F.lit(k) for k in (0, 1, 1, 9)])))
+    start = F.col("_first") + F.make_dt_interval("_day")
+    loads = days.select("source_table", start.alias("load_start"), (start + F.expr("interval 30 hours")).alias("load_end"))
+    return intervals.commits_inside_loads(commits, loads).select("event_id", "source_table", "inside_load")

@@ -110,3 +110,62 @@ def diff_states(before: DataFrame, after: DataFrame, key: str, columns: Sequence
     )
     image = F.coalesce("_after", "_before")
     return sides.select(op.alias("_op"), key, *[image[c].alias(c) for c in columns])
+
+
+# Ranges of key hashes with a checksum each; at most so many rows describe a table.
+LEAVES = 4096
+
+
+def _leaf(key: str, leaves: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(leaves)).cast("int")
+
+
+def range_sums(df: DataFrame, key: str, columns: Sequence[str], leaves: int = LEAVES) -> DataFrame:
+    """``leaf, row_count, digest_low, digest_high`` of each range of key hashes: at most ``leaves`` rows.
+
+    Written beside a version of a table they stand for it: a later comparison
+    needs the other side's sums only.
+    """
+    digest = F.md5(identity.length_prefixed(columns))
+    hashed = df.select(_leaf(key, leaves).alias("leaf"), digest.alias("_digest"))
+    return hashed.groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(identity.hex_slice(F.col("_digest"), 1)).cast("decimal(38,0)").alias("digest_low"),
+        F.sum(identity.hex_slice(F.col("_digest"), 16)).cast("decimal(38,0)").alias("digest_high"),
+    )
+
+
+def folded(sums: DataFrame, ranges: int) -> DataFrame:
+    """The sums of fewer, wider ranges: a higher level of the tree, from the level below alone."""
+    wider = sums.groupBy(F.pmod("leaf", F.lit(ranges)).alias("leaf"))
+    return wider.agg(*[F.sum(c).cast(t).alias(c) for c, t in (("row_count", "long"), ("digest_low", "decimal(38,0)"), ("digest_high", "decimal(38,0)"))])
+
+
+def differing_ranges(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``leaf`` of the ranges whose sums differ."""
+    return signed_difference(left, right, ["leaf", "row_count", "digest_low", "digest_high"]).select("leaf").distinct()
+
+
+def in_ranges(df: DataFrame, key: str, ranges: DataFrame, leaves: int = LEAVES) -> DataFrame:
+    """Rows of ``df`` in these ranges, where they are: the list of ranges is broadcast."""
+    wanted = F.broadcast(ranges.select(F.col("leaf").alias("_leaf")))  # at most ``leaves`` numbers
+    return df.join(wanted, _leaf(key, leaves) == F.col("_leaf"), "left_semi")
+
+
+def mismatches_by_range(
+    source: DataFrame,
+    target: DataFrame,
+    key: str,
+    columns: Sequence[str],
+    leaves: int = LEAVES,
+    known: DataFrame | None = None,
+) -> DataFrame:
+    """As ``mismatches``, but only rows of ranges whose checksums differ are dealt out and compared.
+
+    ``known`` are the source's sums where they have been kept.
+    """
+    names = [key, *(c for c in columns if c != key)]
+    sums = known if known is not None else range_sums(source, key, names, leaves)
+    differ = differing_ranges(sums, range_sums(target, key, names, leaves))
+    sides = (in_ranges(df, key, differ, leaves) for df in (source, target))
+    return mismatches(*sides, key, columns)

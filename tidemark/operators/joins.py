@@ -113,8 +113,14 @@ def commits_inside_load(commits: DataFrame, loads: DataFrame) -> DataFrame:
     )
 
 
+_PART = 1000
+
+
 def missing_overlap_events(commits: DataFrame, staged: DataFrame) -> DataFrame:
-    """Expected I, U and D events of each commit that are not staged exactly once.
+    """Expected I, U and D events of each commit that are not staged exactly once, a row for each commit.
+
+    Both sides are counted before they meet, so very many commits that name one
+    key are one row in the join; their rows are made again after it.
 
     ``commits``: inserted, updated, deleted (customer ids) and city; the U must
     also carry that city.
@@ -144,5 +150,10 @@ def missing_overlap_events(commits: DataFrame, staged: DataFrame) -> DataFrame:
         & skew.same(F.col("city"), F.col("_f_city"))
     )
     staged_events = F.coalesce(F.col("_found"), F.lit(0)).alias("staged_events")
-    joined = expected.join(found, match, "left")
-    return joined.select("_op", "customer_id", "city", staged_events).filter("staged_events <> 1")
+    counted = expected.groupBy("_op", "customer_id", "city").agg(F.count(F.lit(1)).alias("_commits"))
+    wrong = counted.join(found, match, "left").select("_op", "customer_id", "city", staged_events, "_commits")
+    # In parts, so that no row holds a list as long as the commits of a key.
+    part = F.explode(F.sequence(F.lit(0), F.floor((F.col("_commits") - 1) / _PART))).alias("_part")
+    parts = wrong.filter("staged_events <> 1").select("*", part)
+    size = F.least(F.lit(_PART), F.col("_commits") - F.col("_part") * _PART)
+    return parts.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop("_commits", "_part", "_copy")

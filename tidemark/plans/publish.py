@@ -1,7 +1,9 @@
 """Publishing marts: new folder per version, then one pointer record.
 
 Readers follow the newest pointer, so a failed build leaves the old tables in
-place, and all tables of one publication switch together.
+place, and all tables of one publication switch together.  A publication also
+records the loads it adds to the full build it rests on, so that an update can
+tell what the published marts lack.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.warehouse import Warehouse, path_exists
 
-POINTERS = "mart string, version string, sequence bigint, published_at timestamp"
+POINTERS = "mart string, version string, sequence bigint, published_at timestamp, base string"
+CONTENTS = "version string, load_id string"
 
 
 def _pointers(warehouse: Warehouse) -> DataFrame:
@@ -56,12 +59,39 @@ def write_version(warehouse: Warehouse, marts: Mapping[str, DataFrame], version:
         return dict(zip(marts, pool.map(write, marts.items())))
 
 
-def point_to(warehouse: Warehouse, names: list[str], version: str) -> None:
-    """Make ``version`` current for ``names``: one appended file, all or nothing."""
+def contained(warehouse: Warehouse) -> DataFrame | None:
+    """``load_id`` of every load in the published marts; None where the newest publication does not say."""
+    pointers = _pointers(warehouse)
+    newest = pointers.orderBy(F.desc("sequence")).select("base").first()
+    if newest is None or newest["base"] is None:
+        return None
+    # Attempts that never got a pointer do not count, whatever they have written.
+    published = pointers.where(F.col("base") == newest["base"]).select("version").distinct()
+    contents = warehouse.spark.read.schema(CONTENTS).parquet(warehouse.folder("publication_loads"))
+    return contents.join(published, "version", "left_semi").select("load_id").distinct()
+
+
+def _base(warehouse: Warehouse) -> str | None:
+    newest = _pointers(warehouse).orderBy(F.desc("sequence")).select("base").first()
+    return newest["base"] if newest else None
+
+
+def point_to(
+    warehouse: Warehouse, names: list[str], version: str, loads: DataFrame | None = None, full: bool = True
+) -> None:
+    """Make ``version`` current for ``names``: one appended file, all or nothing.
+
+    ``loads`` are those that this publication adds: all of them for a full
+    build.  They are written first, and count once the pointer exists.
+    """
     spark: SparkSession = warehouse.spark
+    base = None if loads is None else version if full else _base(warehouse)
+    if loads is not None:
+        named = loads.select(F.lit(version).alias("version"), "load_id")
+        named.coalesce(1).write.mode("append").parquet(warehouse.folder("publication_loads"))
     last = _pointers(warehouse).agg(F.max("sequence").alias("s")).first()["s"] or 0
     rows = spark.createDataFrame([(n, version, last + 1) for n in names], "mart string, version string, sequence bigint")
-    rows = rows.withColumn("published_at", F.current_timestamp())
+    rows = rows.withColumn("published_at", F.current_timestamp()).withColumn("base", F.lit(base).cast("string"))
     rows.coalesce(1).write.mode("append").parquet(warehouse.folder("publications"))
 
 

@@ -4,6 +4,9 @@ Equal to a full rebuild: a touched key is folded again from all its raw events,
 whatever order they came in, and every other row is taken over from the
 published version.  An order is touched by its own events and by those of any
 item or payment that ever named it.
+
+The loads to fold in are those that the published version does not hold; a
+caller who names loads and leaves one of these out is refused.
 """
 
 from __future__ import annotations
@@ -38,8 +41,36 @@ def _merged(before: DataFrame, now: DataFrame, keys: DataFrame) -> DataFrame:
     return before.join(keys, keys.columns[0], "left_anti").select(*now.columns).unionByName(now)
 
 
-def update(warehouse: Warehouse, loads: Sequence[str], allow: Sequence[str] = ()) -> BuildResult:
-    """Publish marts that include ``loads``; the published version must hold everything before them."""
+class OmittedLoad(ValueError):
+    """An update would have left out a committed load."""
+
+
+def missing_loads(warehouse: Warehouse) -> list[str] | None:
+    """Committed loads that the published marts lack; None where no record says."""
+    known = publish.contained(warehouse)
+    if known is None:
+        return None
+    # One short row for each load since the last publication.
+    return sorted(r["load_id"] for r in warehouse.loads().join(known, "load_id", "left_anti").collect())
+
+
+def update(warehouse: Warehouse, loads: Sequence[str] | None = None, allow: Sequence[str] = ()) -> BuildResult:
+    """Publish marts that include all committed loads.
+
+    Without ``loads``, what is missing is found from the record of
+    publications.  Where there is none, the caller must name the loads, and the
+    published version must hold everything before them.
+    """
+    missing = missing_loads(warehouse)
+    if missing is None and loads is None:
+        raise LookupError("no record says which loads are published: build first or name the loads")
+    if missing is not None:
+        left = sorted(set(missing) - set(loads if loads is not None else missing))
+        if left:
+            raise OmittedLoad(f"loads are neither published nor named: {left[:5]}")
+        loads = missing
+    if not loads:
+        return BuildResult(publish.current_versions(warehouse)["fct_orders"], [], [])
     raw, keys = warehouse.raw_tables(), touched_keys(warehouse, loads)
     own = {table: _only(df, keys[table]) for table, df in raw.items()}
     before = {mart: publish.read_mart(warehouse, mart) for mart in contract.MARTS}
@@ -59,5 +90,8 @@ def update(warehouse: Warehouse, loads: Sequence[str], allow: Sequence[str] = ()
     facts = joins.fct_orders(live["orders"], _only(written["fct_order_items"], orders), _only(written["fct_order_payments"], orders))
     written |= publish.write_version(warehouse, {"fct_orders": _merged(before["fct_orders"], facts, orders)}, version)
     after = checks.gate(checks.mart_checks(written), allow)
-    publish.point_to(warehouse, list(written), version)
+    named = None
+    if missing is not None:
+        named = warehouse.spark.createDataFrame([(i,) for i in loads], "load_id string")
+    publish.point_to(warehouse, list(written), version, named, full=False)
     return BuildResult(version, gated, after)

@@ -81,8 +81,8 @@ class Warehouse:
         """Committed loads: one row per batch, not per file or row."""
         return self.ledger().select("load_id").distinct()
 
-    def raw(self, table: str) -> DataFrame:
-        """Delivered events of committed loads; the join with them prunes other folders when it runs."""
+    def raw(self, table: str, loads: DataFrame | None = None) -> DataFrame:
+        """Delivered events of committed loads, or of ``loads``; the join with them prunes other folders when it runs."""
         schema = contract.raw_schema(table)
         if not path_exists(self.spark, self.folder("raw")):
             return self.spark.createDataFrame([], schema)
@@ -92,11 +92,11 @@ class Warehouse:
         events = self.spark.read.schema(stored).parquet(self.folder("raw"))
         own = events.filter(F.col("source_table") == table)
         # A row of some 40 bytes per load: 4 MB for a year of five-minute batches.
-        visible = own.join(F.broadcast(self.loads()), "load_id", "left_semi")
+        visible = own.join(F.broadcast(self.loads() if loads is None else loads), "load_id", "left_semi")
         return visible.select(*contract.raw_columns(table))
 
-    def raw_tables(self) -> dict[str, DataFrame]:
-        return {table: self.raw(table) for table in contract.TABLES}
+    def raw_tables(self, loads: DataFrame | None = None) -> dict[str, DataFrame]:
+        return {table: self.raw(table, loads) for table in contract.TABLES}
 
     # landing -----------------------------------------------------------------
 
