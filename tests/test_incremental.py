@@ -5,9 +5,11 @@ from datetime import datetime, timedelta
 import pytest
 
 from changes import CUSTOMER, change, put_changes
+from tidemark import contract
 from tidemark.operators import compare, intervals, joins
 from tidemark.plans import build, publish, update
-from tidemark.sources import sketches
+from tidemark.sources import buckets, maintenance, sketches
+from tidemark.sources.warehouse import Warehouse
 
 
 def test_updates_know_what_is_missing(store, capture_root):
@@ -34,6 +36,77 @@ def test_updates_know_what_is_missing(store, capture_root):
     assert found == {"customers": (3, 1)}
 
 
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def _land_customers(store, capture_root, name, keys, seq, city):
+    rows = [change("customers", {**CUSTOMER, "customer_id": k, "city": city}, seq + n) for n, k in enumerate(keys)]
+    put_changes(capture_root, name, rows)
+    store.land_pending(capture_root)
+
+
+def test_compaction_moves_loads_and_a_crash_leaves_one_visible_copy(store, capture_root):
+    store = Warehouse(store.spark, store.root, buckets=4)
+    assert maintenance.compact(store) is None
+    _land_customers(store, capture_root, "001", ["a", "b", "c"], 1, "x")
+    _land_customers(store, capture_root, "002", ["a", "d"], 10, "y")
+    read = lambda: {t: _rows(store.raw(t)) for t in contract.TABLES}
+    before, loads = read(), sorted(r["load_id"] for r in store.loads().collect())
+    by_load = {i: _rows(store.raw("customers", store.spark.createDataFrame([(i,)], "load_id string"))) for i in loads}
+    # A crash after the copy and before the rows that name it.
+    copy = store.events().withColumnRenamed("load_id", "landed_by").withColumn("bucket", store._bucket())
+    buckets.write(copy, store.folder("laid/load_id=crashed"), "source_table", "bucket")
+    assert read() == before
+    into = maintenance.compact(store)
+    assert into and maintenance.compact(store) is None and read() == before
+    # The old places, still there, are not read; then they go, and the unnamed copy with them.
+    assert maintenance.vacuum(store) == {"loads": 3, "versions": 0} and read() == before
+    for i in loads:
+        assert _rows(store.raw("customers", store.spark.createDataFrame([(i,)], "load_id string"))) == by_load[i]
+    _land_customers(store, capture_root, "003", ["e"], 20, "z")
+    after = read()
+    assert len(after["customers"]) == 6
+    assert maintenance.compact(store) and read() == after  # what came since
+    every = sorted(r["load_id"] for r in store.loads().collect())
+    last = maintenance.compact(store, every)  # several copies become one
+    assert read() == after and maintenance.vacuum(store)["loads"] == 3
+    assert {r["into"] for r in store.moves().collect()} == {last} and read() == after
+    with pytest.raises(ValueError):
+        maintenance.compact(Warehouse(store.spark, store.root, buckets=8), every)
+
+
+def test_an_update_reads_and_writes_the_touched_buckets_alone(store, capture_root):
+    store = Warehouse(store.spark, store.root, buckets=8)
+    keys = [f"k{n}" for n in range(40)]
+    _land_customers(store, capture_root, "001", keys, 1, "x")
+    maintenance.compact(store)
+    first = build.build(store).version
+    number = {r["k"]: r["b"] for r in store.spark.createDataFrame([(k,) for k in keys], "k string").select("k", buckets.number("k", 8).alias("b")).collect()}
+    _land_customers(store, capture_root, "002", ["k3"], 100, "y")
+    second = update.update(store).version
+    for mart in ("dim_customers", "dim_customer_history"):
+        at = publish.current(store)[mart].versions
+        assert at == {b: second if b == number["k3"] else first for b in set(number.values())}
+    got = {r["customer_id"]: r["city"] for r in publish.read_mart(store, "dim_customers").collect()}
+    assert got == {k: "y" if k == "k3" else "x" for k in keys}
+    # The scan of compacted raw leaves out the folders of other buckets.
+    plan = store.raw("customers", only=[number["k3"]])._jdf.queryExecution().executedPlan().toString()
+    filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+    assert any("bucket" in f for f in filters)
+    # The last customer of a bucket goes: the bucket is empty, not the old version's.
+    alone = min(number, key=lambda k: list(number.values()).count(number[k]))
+    gone = [k for k in keys if number[k] == number[alone]]
+    put_changes(capture_root, "003", [change("customers", {**CUSTOMER, "customer_id": k}, 200, "D") for k in gone])
+    store.land_pending(capture_root)
+    update.update(store)
+    left = {r["customer_id"] for r in publish.read_mart(store, "dim_customers").collect()}
+    assert left == set(keys) - set(gone) and number[alone] not in publish.current(store)["dim_customers"].versions
+    _land_customers(store, capture_root, "004", ["k1"], 300, "z")
+    with pytest.raises(ValueError):
+        update.update(Warehouse(store.spark, store.root, buckets=4))
+
+
 def test_only_differing_ranges_are_compared(spark):
     left = spark.range(2000).selectExpr("cast(id as string) as k", "id % 7 as v", "cast(null as string) as w")
     right = left.where("k <> '11'").selectExpr("k", "case when k = '1500' then 99 else v end as v", "w")

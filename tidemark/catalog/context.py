@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from tidemark import contract
 from tidemark.contract import CaptureFormat
 from tidemark.functions import casts
-from tidemark.plans import layers
+from tidemark.plans import build, layers, update
 from tidemark.session import work_folder
-from tidemark.sources import capture, feed, sinks
+from tidemark.sources import capture, feed, maintenance, sinks
 from tidemark.sources.warehouse import Warehouse
 
 # Spark names written files part-*, so exported snapshots carry that prefix.
@@ -126,6 +126,25 @@ class Context:
     def new_warehouse(self) -> Warehouse:
         return Warehouse(self.spark, work_folder(self.spark, "warehouse"))
 
+    @cached_property
+    def updated(self) -> Warehouse:
+        """Two loads compacted and built, a third folded in by an update of the touched buckets, then compacted as well."""
+
+        def write(target: str) -> None:
+            store, allow = Warehouse(self.spark, target), ("relationships",)
+            listed = capture.capture_manifest(self.spark, self.captures).orderBy("path").collect()
+            files = [(r["path"], r["size"]) for r in listed]
+            for part in (files[1:-1:2], files[:-1:2]):
+                store.land(part, self.captures, EXPORT)
+            maintenance.compact(store)
+            build.build(store, allow=allow)
+            store.land(files[-1:], self.captures, EXPORT)
+            update.update(store, allow=allow)
+            maintenance.compact(store)
+            maintenance.vacuum(store)
+
+        return Warehouse(self.spark, self._once("updated", write))
+
     @cached_property
     def landed(self) -> Warehouse:
         """A warehouse into which all exported captures have been landed."""

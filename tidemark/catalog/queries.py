@@ -1211,6 +1211,15 @@ def history_of_landed_captures(c: Context) -> DataFrame:
     return layers.marts_from_raw(c.landed.raw_tables())["dim_customer_history"]
 
 
+# Compacted raw and updates by bucket, against the SQL of raw and marts
+for _t in contract.TABLES:
+    _register(
+        f"compacted_raw_{_t}", f"select * exclude (_source_file) from raw_{_t}", lambda c, t=_t: c.updated.raw(t).drop("_source_file")
+    )
+for _m in contract.MARTS:
+    _register(f"updated_{_m}", f"select * from {_m}", lambda c, m=_m: publish.read_mart(c.updated, m))
+
+
 # Records of publications, batches that fail, sketches, ranges and intervals --------------------------
 
 

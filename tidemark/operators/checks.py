@@ -247,8 +247,13 @@ def raw_checks(raw: Mapping[str, DataFrame]) -> DataFrame:
     return profiles.union_tables([*parts, conflicts])
 
 
-def mart_checks(marts: Mapping[str, DataFrame]) -> DataFrame:
-    """Checks on published grains, references, history and totals."""
+def mart_checks(marts: Mapping[str, DataFrame], customer_references: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Checks on published grains, references, history and totals.
+
+    ``marts`` may be the buckets of an update.  Orders and customers lie in
+    buckets of different numbers, so ``customer_references`` then holds the
+    orders whose customer is to be looked up, and all customers.
+    """
     customers, history = marts["dim_customers"], marts["dim_customer_history"]
     orders, items, payments = marts["fct_orders"], marts["fct_order_items"], marts["fct_order_payments"]
     unique = {
@@ -266,12 +271,13 @@ def mart_checks(marts: Mapping[str, DataFrame]) -> DataFrame:
         "fct_order_payments": ("payment_key", "order_id"),
     }
     parts = [key_checks(marts[m], m, c, required[m]) for m, c in unique.items()]
-    for model, column, parent, parent_key in (
-        ("fct_orders", "customer_id", customers, "customer_id"),
-        ("fct_order_items", "order_id", orders, "order_id"),
-        ("fct_order_payments", "order_id", orders, "order_id"),
+    naming, named = customer_references or (orders, customers)
+    for model, child, column, parent, parent_key in (
+        ("fct_orders", naming, "customer_id", named, "customer_id"),
+        ("fct_order_items", items, "order_id", orders, "order_id"),
+        ("fct_order_payments", payments, "order_id", orders, "order_id"),
     ):
-        missing = joins.orphan_keys(marts[model], column, parent, parent_key)
+        missing = joins.orphan_keys(child, column, parent, parent_key)
         total = missing.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("violations"))
         parts.append(
             total.select(

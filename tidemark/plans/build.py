@@ -61,5 +61,5 @@ def build(
     orders = joins.fct_orders(live["orders"], written["fct_order_items"], written["fct_order_payments"])
     written |= publish.write_version(warehouse, {"fct_orders": orders}, version)
     after = checks.gate(checks.mart_checks(written), allow)
-    publish.point_to(warehouse, list(written), version, known)
+    publish.point_to(warehouse, written, version, known)
     return BuildResult(version, before, after)

@@ -1,23 +1,44 @@
 """Publishing marts: new folder per version, then one pointer record.
 
 Readers follow the newest pointer, so a failed build leaves the old tables in
-place, and all tables of one publication switch together.  A publication also
+place, and all tables of one publication switch together.  Marts are laid out
+by hash buckets of a key, and pointers name a version for each bucket: an update
+writes the buckets it touches and leaves the others to the versions that hold
+them.  A publication also
 records the loads it adds to the full build it rests on, so that an update can
 tell what the published marts lack.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tidemark.sources.warehouse import Warehouse, path_exists
-
-POINTERS = "mart string, version string, sequence bigint, published_at timestamp, base string"
+from pyspark.sql import types as T
+
+from tidemark.sources import buckets
+from tidemark.sources.warehouse import Warehouse, children, path_exists
+
+# A row per bucket; bucket -1 stands for the publication of the mart itself and carries its schema.
+POINTERS = (
+    "mart string, version string, sequence bigint, published_at timestamp, base string,"
+    " bucket int, filled boolean, whole boolean, buckets int, schema string"
+)
+ITSELF = -1
+# What the rows of a mart are laid out by.  Details go with their order, so that
+# totals and references of an order stay in buckets of one number.
+KEYS = {
+    "dim_customers": "customer_id",
+    "dim_customer_history": "customer_id",
+    "fct_orders": "order_id",
+    "fct_order_items": "order_id",
+    "fct_order_payments": "order_id",
+}
 CONTENTS = "version string, load_id string"
 
 
@@ -34,6 +55,35 @@ def current_versions(warehouse: Warehouse) -> dict[str, str]:
     return {r["mart"]: r["version"] for r in newest.collect()}
 
 
+@dataclass(frozen=True)
+class Published:
+    """Where the current rows of a mart are."""
+
+    buckets: int
+    schema: T.StructType
+    versions: dict[int, str]
+
+    def in_use(self) -> set[str]:
+        return set(self.versions.values())
+
+
+def current(warehouse: Warehouse) -> dict[str, Published]:
+    """Version of each filled bucket per mart: a short row for each bucket."""
+    pointers = _pointers(warehouse)
+    since = pointers.where("whole").groupBy("mart").agg(F.max("sequence").alias("_since"))
+    live = pointers.join(since, "mart").where("sequence >= _since")
+    newest = live.groupBy("mart", "bucket").agg(
+        F.max_by(F.struct("version", "filled", "buckets", "schema"), "sequence").alias("_p")
+    )
+    rows = newest.select("mart", "bucket", "_p.*").collect()
+    found = {}
+    for own in (r for r in rows if r["bucket"] == ITSELF):
+        versions = {r["bucket"]: r["version"] for r in rows if r["mart"] == own["mart"] and r["filled"]}
+        schema = T.StructType.fromJson(json.loads(own["schema"]))
+        found[own["mart"]] = Published(own["buckets"], schema, versions)
+    return found
+
+
 def _folder(warehouse: Warehouse, mart: str, version: str) -> str:
     return warehouse.folder(f"marts/{mart}/version={version}")
 
@@ -52,8 +102,10 @@ def write_version(warehouse: Warehouse, marts: Mapping[str, DataFrame], version:
     def write(item: tuple[str, DataFrame]) -> DataFrame:
         name, df = item
         folder = _folder(warehouse, name, version)
-        df.write.parquet(folder)
-        return warehouse.spark.read.schema(df.schema).parquet(folder)
+        laid = df.withColumn("bucket", buckets.number(KEYS.get(name, df.columns[0]), warehouse.buckets))
+        buckets.write(laid, folder, "bucket")
+        stored = T.StructType([*df.schema.fields, T.StructField("bucket", T.IntegerType())])
+        return warehouse.spark.read.schema(stored).parquet(folder).select(*df.columns)
 
     with ThreadPoolExecutor(len(marts)) as pool:
         return dict(zip(marts, pool.map(write, marts.items())))
@@ -77,33 +129,56 @@ def _base(warehouse: Warehouse) -> str | None:
 
 
 def point_to(
-    warehouse: Warehouse, names: list[str], version: str, loads: DataFrame | None = None, full: bool = True
+    warehouse: Warehouse,
+    written: Mapping[str, DataFrame],
+    version: str,
+    loads: DataFrame | None = None,
+    touched: Mapping[str, Sequence[int]] | None = None,
 ) -> None:
-    """Make ``version`` current for ``names``: one appended file, all or nothing.
+    """Make ``version`` current for the marts in ``written``: one appended file, all or nothing.
 
-    ``loads`` are those that this publication adds: all of them for a full
-    build.  They are written first, and count once the pointer exists.
+    ``touched`` names the buckets that an update replaces; without it the
+    version replaces all.  ``loads`` are those that this publication adds: all
+    of them for a full build.  They are written first, and count once the
+    pointer exists.
     """
     spark: SparkSession = warehouse.spark
-    base = None if loads is None else version if full else _base(warehouse)
+    whole = touched is None
+    base = None if loads is None else version if whole else _base(warehouse)
     if loads is not None:
         named = loads.select(F.lit(version).alias("version"), "load_id")
         named.coalesce(1).write.mode("append").parquet(warehouse.folder("publication_loads"))
     last = _pointers(warehouse).agg(F.max("sequence").alias("s")).first()["s"] or 0
-    rows = spark.createDataFrame([(n, version, last + 1) for n in names], "mart string, version string, sequence bigint")
-    rows = rows.withColumn("published_at", F.current_timestamp()).withColumn("base", F.lit(base).cast("string"))
-    rows.coalesce(1).write.mode("append").parquet(warehouse.folder("publications"))
+    rows = []
+    for mart, df in written.items():
+        names = children(spark, _folder(warehouse, mart, version))
+        filled = {int(n.removeprefix("bucket=")) for n in names if n.startswith("bucket=")}
+        rows.append((mart, version, last + 1, ITSELF, False, whole, warehouse.buckets, df.schema.json()))
+        for bucket in sorted(filled if whole else touched[mart]):
+            rows.append((mart, version, last + 1, bucket, bucket in filled, False, None, None))
+    schema = "mart string, version string, sequence bigint, bucket int, filled boolean, whole boolean, buckets int, schema string"
+    pointers = spark.createDataFrame(rows, schema)
+    pointers = pointers.withColumn("published_at", F.current_timestamp()).withColumn("base", F.lit(base).cast("string"))
+    pointers.coalesce(1).write.mode("append").parquet(warehouse.folder("publications"))
 
 
 def publish(warehouse: Warehouse, marts: Mapping[str, DataFrame]) -> str:
     version = new_version()
-    write_version(warehouse, marts, version)
-    point_to(warehouse, list(marts), version)
+    point_to(warehouse, write_version(warehouse, marts, version), version)
     return version
 
 
+def read_buckets(warehouse: Warehouse, name: str, at: Published, only: Sequence[int] | None = None) -> DataFrame:
+    """Rows of a mart, or of its buckets with these numbers; no folder of another bucket is listed."""
+    chosen = {b: v for b, v in at.versions.items() if only is None or b in set(only)}
+    if not chosen:
+        return warehouse.spark.createDataFrame([], at.schema)
+    paths = [f"{_folder(warehouse, name, v)}/bucket={b}" for b, v in sorted(chosen.items())]
+    return warehouse.spark.read.schema(at.schema).parquet(*paths)
+
+
 def read_mart(warehouse: Warehouse, name: str) -> DataFrame:
-    version = current_versions(warehouse).get(name)
-    if version is None:
+    at = current(warehouse).get(name)
+    if at is None:
         raise LookupError(f"{name} has not been published")
-    return warehouse.spark.read.parquet(_folder(warehouse, name, version))
+    return read_buckets(warehouse, name, at)

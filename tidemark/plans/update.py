@@ -1,9 +1,13 @@
 """Marts brought up to date for the keys of new loads only.
 
 Equal to a full rebuild: a touched key is folded again from all its raw events,
-whatever order they came in, and every other row is taken over from the
-published version.  An order is touched by its own events and by those of any
-item or payment that ever named it.
+whatever order they came in, and every other row stays as published.  An order
+is touched by its own events and by those of any item or payment that ever
+named it.
+
+Only buckets with a touched key are read, rewritten and checked: of raw where
+``maintenance.compact`` has laid it out, of marts always.  Others are carried by
+reference.  The one look beyond them is for orders whose customer is gone.
 
 The loads to fold in are those that the published version does not hold; a
 caller who names loads and leaves one of these out is refused.
@@ -19,17 +23,14 @@ from tidemark import contract
 from tidemark.operators import checks, history, joins, profiles
 from tidemark.plans import layers, publish
 from tidemark.plans.build import BuildResult
-from tidemark.sources.warehouse import Warehouse, committed_events
+from tidemark.sources import buckets
+from tidemark.sources.warehouse import Warehouse
 
 
 def touched_keys(warehouse: Warehouse, loads: Sequence[str]) -> dict[str, DataFrame]:
     """Primary keys of each table that the loads delivered events of."""
-    keys = {}
-    for table in contract.TABLES:
-        key = contract.primary_key(table)
-        parts = [committed_events(warehouse, i).filter(f"source_table = '{table}'").select(key) for i in loads]
-        keys[table] = profiles.union_tables(parts).distinct()
-    return keys
+    chosen = warehouse.spark.createDataFrame([(i,) for i in loads], "load_id string")
+    return {t: warehouse.raw(t, chosen).select(contract.primary_key(t)).distinct() for t in contract.TABLES}
 
 
 def _only(df: DataFrame, keys: DataFrame) -> DataFrame:
@@ -71,27 +72,55 @@ def update(warehouse: Warehouse, loads: Sequence[str] | None = None, allow: Sequ
         loads = missing
     if not loads:
         return BuildResult(publish.current_versions(warehouse)["fct_orders"], [], [])
-    raw, keys = warehouse.raw_tables(), touched_keys(warehouse, loads)
-    own = {table: _only(df, keys[table]) for table, df in raw.items()}
-    before = {mart: publish.read_mart(warehouse, mart) for mart in contract.MARTS}
+    at = publish.current(warehouse)
+    count = warehouse.buckets
+    if {at[m].buckets for m in contract.MARTS} != {count}:
+        raise ValueError(f"the published marts are not laid out in {count} buckets: build again")
+    keys = touched_keys(warehouse, loads)
+    touched = {t: buckets.numbers(keys[t], count) for t in contract.TABLES}
+    own = {t: _only(warehouse.raw(t, only=touched[t]), keys[t]) for t in contract.TABLES}
     gated = checks.gate(checks.raw_checks(own), allow)
     details = {t: layers.typed(own[t], t).select("order_id") for t in ("order_items", "order_payments")}
     orders = profiles.union_tables([keys["orders"], *details.values()]).distinct()
-    live = layers.current_from_raw({**own, "orders": _only(raw["orders"], orders)})
+    of_orders = buckets.numbers(orders, count)
+    all_of = {**own, "orders": _only(warehouse.raw("orders", only=of_orders), orders)}
+    live = layers.current_from_raw(all_of)
     slicing = history.Slicing.of(own["customers"], "customer_id")
     changed = {
         "dim_customers": (live["customers"].select(*contract.SOURCE_COLUMNS["customers"]), keys["customers"]),
         "dim_customer_history": (history.customer_history(own["customers"], slicing), keys["customers"]),
         **{name: (df, keys[name.removeprefix("fct_")]) for name, df in layers.detail_marts(live).items()},
     }
+    # A detail's rows, now and before, lie in buckets of orders that its events name.
+    rewritten = {m: touched["customers"] if m.startswith("dim_") else of_orders for m in contract.MARTS}
+    before = {m: publish.read_buckets(warehouse, m, at[m], rewritten[m]) for m in contract.MARTS}
     version = publish.new_version()
     first = {name: _merged(before[name], now, of) for name, (now, of) in changed.items()}
     written = publish.write_version(warehouse, first, version)
     facts = joins.fct_orders(live["orders"], _only(written["fct_order_items"], orders), _only(written["fct_order_payments"], orders))
     written |= publish.write_version(warehouse, {"fct_orders": _merged(before["fct_orders"], facts, orders)}, version)
-    after = checks.gate(checks.mart_checks(written), allow)
+    after = checks.gate(checks.mart_checks(written, _customer_references(warehouse, at, rewritten, written, keys["customers"])), allow)
     named = None
     if missing is not None:
         named = warehouse.spark.createDataFrame([(i,) for i in loads], "load_id string")
-    publish.point_to(warehouse, list(written), version, named, full=False)
+    publish.point_to(warehouse, written, version, named, rewritten)
     return BuildResult(version, gated, after)
+
+
+def _customer_references(
+    warehouse: Warehouse,
+    at: dict[str, publish.Published],
+    rewritten: dict[str, list[int]],
+    written: dict[str, DataFrame],
+    customers: DataFrame,
+) -> tuple[DataFrame, DataFrame]:
+    """Orders whose customer may be missing now, and all customers: a column of each."""
+
+    def kept(mart: str) -> DataFrame:
+        others = sorted(set(at[mart].versions) - set(rewritten[mart]))
+        return publish.read_buckets(warehouse, mart, at[mart], others).select("customer_id")
+
+    now = written["dim_customers"].select("customer_id")
+    gone = customers.join(now, "customer_id", "left_anti")
+    naming = written["fct_orders"].select("customer_id").unionByName(_only(kept("fct_orders"), gone))
+    return naming, kept("dim_customers").unionByName(now)

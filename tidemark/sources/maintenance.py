@@ -1,19 +1,20 @@
-"""Removal of what no reader can reach: crashed or refused loads and replaced mart versions."""
+"""Compaction of loads, and removal of what no reader can reach: crashed, refused or moved loads, replaced mart versions."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import functions as F
+
 from tidemark import contract
 from tidemark.plans import publish
-from tidemark.sources.warehouse import Warehouse, path_exists
+from tidemark.sources import buckets
+from tidemark.sources.warehouse import MOVES, Warehouse, children
 
 
 def _children(warehouse: Warehouse, folder: str) -> list[str]:
-    jvm = warehouse.spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(warehouse.folder(folder))
-    if not path_exists(warehouse.spark, warehouse.folder(folder)):
-        return []
-    fs = path.getFileSystem(warehouse.spark._jsparkSession.sessionState().newHadoopConf())
-    return [status.getPath().getName() for status in fs.listStatus(path)]
+    return children(warehouse.spark, warehouse.folder(folder))
 
 
 def _drop(warehouse: Warehouse, folder: str) -> None:
@@ -22,22 +23,56 @@ def _drop(warehouse: Warehouse, folder: str) -> None:
     path.getFileSystem(warehouse.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def compact(warehouse: Warehouse, loads: Sequence[str] | None = None) -> str | None:
+    """Rewrite loads as one, laid out by buckets of the primary key; by default those not yet compacted.
+
+    The copy is invisible until the rows that name it are appended, as one
+    file; from then on readers pass over the old places.  A crash before leaves
+    the loads where they were, and the unnamed copy to ``vacuum``.  Events keep
+    the load that delivered them.  Returns the copy's id, None if nothing was left.
+    """
+    spark, moves, known = warehouse.spark, warehouse.moves(), warehouse.loads()
+    if moves is not None and not moves.where(F.col("buckets") != warehouse.buckets).isEmpty():
+        raise ValueError(f"this warehouse is not laid out in {warehouse.buckets} buckets")
+    if loads is not None:
+        known = known.where(F.col("load_id").isin(list(loads)))
+    elif moves is not None:
+        known = known.join(moves, "load_id", "left_anti")
+    names = sorted(r["load_id"] for r in known.collect())  # a short row each
+    if not names:
+        return None
+    chosen = spark.createDataFrame([(n,) for n in names], "load_id string")
+    into = uuid.uuid4().hex
+    events = warehouse.events(chosen).withColumnRenamed("load_id", "landed_by").withColumn("bucket", warehouse._bucket())
+    buckets.write(events, warehouse.folder(f"laid/load_id={into}"), "source_table", "bucket")
+    last = 0
+    if moves is not None:
+        last = spark.read.schema(MOVES).parquet(warehouse.folder("moves")).agg(F.max("sequence")).first()[0]
+    rows = spark.createDataFrame([(n, into, last + 1, warehouse.buckets) for n in names], MOVES)
+    rows.coalesce(1).write.mode("append").parquet(warehouse.folder("moves"))
+    return into
+
+
 def vacuum(warehouse: Warehouse) -> dict[str, int]:
-    """Delete loads that no ledger row names and mart versions that are not current; call it while nothing else writes.
+    """Delete loads that no ledger row names or that have moved, and mart versions without a current bucket.
 
-    A query that still reads a replaced version fails afterwards: leave it the
-    time it needs.
+    Call it while nothing else writes.  A query that still reads a replaced
+    version or an old place fails afterwards: leave it the time it needs.
     """
-    committed = {f"load_id={r['load_id']}" for r in warehouse.loads().collect()}
+    moves = warehouse.moves()
+    moved = {} if moves is None else {r["load_id"]: r["into"] for r in moves.collect()}
+    loads = {r["load_id"] for r in warehouse.loads().collect()}
+    kept = {"raw": loads - set(moved), "laid": {moved[i] for i in loads if i in moved}}
     dropped = {"loads": 0, "versions": 0}
-    for name in _children(warehouse, "raw"):
-        if name.startswith("load_id=") and name not in committed:
-            _drop(warehouse, f"raw/{name}")
-            dropped["loads"] += 1
-    current = publish.current_versions(warehouse)
+    for place, names in kept.items():
+        for name in _children(warehouse, place):
+            if name.startswith("load_id=") and name.removeprefix("load_id=") not in names:
+                _drop(warehouse, f"{place}/{name}")
+                dropped["loads"] += 1
+    published = publish.current(warehouse)
     for mart in contract.MARTS:
         for name in _children(warehouse, f"marts/{mart}"):
-            if name.startswith("version=") and mart in current and name != f"version={current[mart]}":
+            if name.startswith("version=") and mart in published and name.removeprefix("version=") not in published[mart].in_use():
                 _drop(warehouse, f"marts/{mart}/{name}")
                 dropped["versions"] += 1
     return dropped

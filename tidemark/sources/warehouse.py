@@ -5,6 +5,10 @@
 refused, where and why.  A load becomes visible when its ledger rows, written
 last as a single file, exist; anything a crashed or rejected load
 left behind belongs to no ledger row and is never read.  One writer at a time.
+
+``maintenance.compact`` moves loads to ``laid/load_id=<id>/source_table=<t>/bucket=<n>/``,
+laid out by hash buckets of the primary key.  ``moves/`` says where a load is
+now; its rows, appended as one file, switch many loads at once.
 """
 
 from __future__ import annotations
@@ -20,13 +24,15 @@ from pyspark.sql import types as T
 
 from tidemark import contract
 from tidemark.contract import DEFAULT_FORMAT, CaptureFormat
-from tidemark.operators import joins
+from tidemark.operators import joins, profiles
+from tidemark.sources import buckets as layout
 from tidemark.sources import capture
 
 MAX_FILES = 10_000
 # Bytes of one landing, which bounds its file splits (8,000 of 128 MB).
 MAX_BYTES = 1 << 40
 REJECTED = "_rejected"
+MOVES = "load_id string, into string, sequence bigint, buckets int"
 
 
 class RejectedFile(ValueError):
@@ -39,6 +45,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(target)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in one folder; none if it does not exist."""
+    if not path_exists(spark, folder):
+        return []
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [status.getPath().getName() for status in fs.listStatus(path)]
+
+
 @dataclass(frozen=True)
 class Landing:
     """What one ``land`` call did; only committed files count in ``metrics``."""
@@ -56,6 +71,7 @@ def _metric() -> Column:
 class Warehouse:
     spark: SparkSession
     root: str
+    buckets: int = layout.BUCKETS
 
     def folder(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -81,19 +97,64 @@ class Warehouse:
         """Committed loads: one row per batch, not per file or row."""
         return self.ledger().select("load_id").distinct()
 
-    def raw(self, table: str, loads: DataFrame | None = None) -> DataFrame:
-        """Delivered events of committed loads, or of ``loads``; the join with them prunes other folders when it runs."""
+    def moves(self) -> DataFrame | None:
+        """``load_id, into``: where compaction has put a load; None before the first compaction."""
+        if not path_exists(self.spark, self.folder("moves")):
+            return None
+        rows = self.spark.read.schema(MOVES).parquet(self.folder("moves"))
+        newest = rows.groupBy("load_id").agg(F.max_by(F.struct("into", "buckets"), "sequence").alias("_m"))
+        return newest.select("load_id", "_m.into", "_m.buckets")
+
+    def _delivered(self, schema: T.StructType, loads: DataFrame | None, only: Sequence[int] | None, tables: Sequence[str]) -> DataFrame:
+        """``schema``, ``load_id`` and ``source_table`` of committed loads, each read where it is now.
+
+        The joins with the short list of loads prune folders of others when they
+        run.  ``only`` keeps the buckets with these numbers: a folder filter for
+        compacted loads, a row filter for others.
+        """
+        wanted = self.loads() if loads is None else loads
+        parts, moves = [], self.moves()
+        extra = [T.StructField("load_id", T.StringType()), T.StructField("source_table", T.StringType())]
+        named = [*schema.names, "load_id", "source_table"]
+        here = F.col("source_table").isin(list(tables))
+        if path_exists(self.spark, self.folder("raw")):
+            # A row of some 40 bytes per load: 4 MB for a year of five-minute batches.
+            unmoved = wanted if moves is None else wanted.join(moves, "load_id", "left_anti")
+            events = self.spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(self.folder("raw"))
+            if only is not None:
+                events = events.filter(self._bucket().isin(list(only)))
+            parts.append(events.filter(here).join(F.broadcast(unmoved), "load_id", "left_semi").select(*named))
+        if moves is not None:
+            held = [T.StructField("landed_by", T.StringType()), *extra, T.StructField("bucket", T.IntegerType())]
+            events = self.spark.read.schema(T.StructType([*schema.fields, *held])).parquet(self.folder("laid"))
+            if only is not None:
+                events = events.filter(F.col("bucket").isin(list(only)))
+            moved = moves.join(wanted, "load_id", "left_semi").select(F.col("load_id").alias("_load"), "into")
+            at = (F.col("load_id") == F.col("into")) & (F.col("landed_by") == F.col("_load"))
+            events = events.filter(here).join(F.broadcast(moved), at, "left_semi")
+            parts.append(events.withColumn("load_id", F.col("landed_by")).select(*named))
+        if not parts:
+            return self.spark.createDataFrame([], T.StructType([*schema.fields, *extra]))
+        return profiles.union_tables(parts)
+
+    def _bucket(self) -> Column:
+        cases = [F.when(F.col("source_table") == t, layout.number(contract.primary_key(t), self.buckets)) for t in contract.TABLES]
+        return F.coalesce(*cases)
+
+    def events(self, loads: DataFrame | None = None) -> DataFrame:
+        """Events of all tables as landed, with the ``load_id`` that delivered them."""
+        fields = [f for f in capture.EVENT_SCHEMA.fields if f.name != "source_table"]
+        return self._delivered(T.StructType(fields), loads, None, contract.TABLES)
+
+    def raw(self, table: str, loads: DataFrame | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """Delivered events of committed loads, or of ``loads``; ``only`` those whose primary key falls into these buckets."""
         schema = contract.raw_schema(table)
-        if not path_exists(self.spark, self.folder("raw")):
-            return self.spark.createDataFrame([], schema)
-        stored = T.StructType(
-            [*schema.fields, T.StructField("load_id", T.StringType()), T.StructField("source_table", T.StringType())]
-        )
-        events = self.spark.read.schema(stored).parquet(self.folder("raw"))
-        own = events.filter(F.col("source_table") == table)
-        # A row of some 40 bytes per load: 4 MB for a year of five-minute batches.
-        visible = own.join(F.broadcast(self.loads() if loads is None else loads), "load_id", "left_semi")
-        return visible.select(*contract.raw_columns(table))
+        if only is None:
+            return self._delivered(schema, loads, None, [table]).select(*contract.raw_columns(table))
+        # The row filter names the keys of all tables.
+        keys = [T.StructField(contract.primary_key(t), T.StringType()) for t in contract.TABLES]
+        wider = T.StructType([*schema.fields, *[k for k in keys if k.name not in schema.names]])
+        return self._delivered(wider, loads, only, [table]).select(*contract.raw_columns(table))
 
     def raw_tables(self, loads: DataFrame | None = None) -> dict[str, DataFrame]:
         return {table: self.raw(table, loads) for table in contract.TABLES}
@@ -231,7 +292,11 @@ def within_bytes(files: list[tuple[str, int]], most: int = MAX_BYTES) -> list[tu
 
 
 def committed_events(warehouse: Warehouse, load_id: str) -> DataFrame:
-    return warehouse._written(load_id)
+    moves = warehouse.moves()
+    if moves is None or moves.where(F.col("load_id") == load_id).isEmpty():
+        return warehouse._written(load_id)
+    own = warehouse.events(warehouse.spark.createDataFrame([(load_id,)], "load_id string"))
+    return own.select(*capture.EVENT_SCHEMA.names)
 
 
 def event_metrics(events: DataFrame) -> DataFrame:
