@@ -129,6 +129,34 @@ def test_slices_are_small_and_keep_the_order(spark):
     assert skew.without_keys(events, "k", heavy).count() == 10_000 - 6666
 
 
+def test_slices_stay_small_beyond_one_grid(spark):
+    events = spark.range(5_000).select(
+        F.when(F.col("id") < 4_000, F.lit("hot")).otherwise(F.lit("warm")).alias("k"),
+        (F.col("id") * 7919 % 5_003).cast("decimal(35,0)").alias("o"),
+        F.lit("").alias("t"),
+    )
+    heavy = skew.heavy_keys(events, "k", 100, *skew.order_span("o", "t"))
+    sliced = skew.order_slices(events, "k", "o", "t", heavy, slice_rows=100, grid=10)
+    groups = sliced.groupBy("k", "_slice").agg(F.count("*").alias("n"), F.min("o").alias("lo"), F.max("o").alias("hi"))
+    for key, total in (("hot", 4_000), ("warm", 1_000)):
+        rows = groups.filter(F.col("k") == key).orderBy("_slice").collect()
+        assert sum(r["n"] for r in rows) == total and max(r["n"] for r in rows) < 300
+        assert all(a["hi"] < b["lo"] for a, b in zip(rows, rows[1:]))
+
+
+def test_equal_tables_are_compared_without_dealing_out_rows(spark):
+    rows = [(i % 50, None if i % 7 == 0 else str(i % 30), float(i % 3)) for i in range(300)]
+    left = spark.createDataFrame(rows, "a long, b string, c double")
+    same = compare.same_content(left, left.orderBy(F.desc("a")).repartition(3))
+    assert tuple(same.first()) == (0, 0, True)
+    plan = same._jdf.queryExecution().executedPlan()
+    assert "== Final Plan" not in plan.toString() or "hashpartitioning(a#" not in plan.toString().split("== Initial Plan")[0]
+    other = spark.createDataFrame([*rows[:-2], rows[0], (1, "", -0.0)], left.schema)
+    assert tuple(compare.same_content(left, other).first()) == (2, 2, False)
+    zero = spark.createDataFrame([(0.0, 1)], "c double, n int")
+    assert compare.same_content(zero, spark.createDataFrame([(-0.0, 1)], "c double, n long")).first()["equal"]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
