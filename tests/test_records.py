@@ -84,3 +84,23 @@ def test_broken_text_is_flagged(spark, tmp_path):
     path.write_bytes(b"good,1\nbad\xff,2\n")
     rows = records.read_records(spark, [(str(path), path.stat().st_size)]).collect()
     assert [(r["line"], r["bad_text"]) for r in sorted(rows, key=lambda r: r["line"])] == [(1, False), (2, True)]
+
+
+def test_tiny_splits_share_tasks(spark, tmp_path):
+    paths = make(tmp_path, seed=3)
+    files = [(p, os.path.getsize(p)) for p in paths]
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "100")
+        spark.conf.set(names[1], "0")
+        tasks = 4 * spark.sparkContext.defaultParallelism
+        assert records.read_lines(spark, paths).rdd.getNumPartitions() > 3 * tasks
+        rows = records.read_records(spark, files)
+        assert rows.rdd.getNumPartitions() <= 2 * tasks + 2  # whole records, and those put together
+        got = found(rows)
+    finally:
+        for name, old in zip(names, before):
+            spark.conf.set(name, old)
+    for path in paths:
+        assert set(got[os.path.basename(path)]) == expected(path)
