@@ -280,6 +280,18 @@ def test_line_dedup_cuts_long_lists(spark, monkeypatch):
     assert got == {*range(len(lines), n), n + 1}
 
 
+def test_long_lists_lose_no_partner(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "LONG_LIST", 8)
+    monkeypatch.setattr(line_dedup, "NEAR_BLOCK", 4)
+    prints = np.random.default_rng(4).integers(-(1 << 62), 1 << 62, 40).tolist()
+    prints[31] = prints[2] ^ 5  # near, with other words on both sides of the run
+    rows = [(i, fp, [77], [(2 * i + 1) << 32 | 2 * i + 2]) for i, fp in enumerate(prints)]
+    found = spark.createDataFrame(rows, "node long, fp long, keys array<long>, beside array<long>")
+    near = {i for i, a in enumerate(prints) for j, b in enumerate(prints) if i != j and ((a ^ b) & (1 << 64) - 1).bit_count() <= line_dedup.RADIUS}
+    got = line_dedup.members(found).collect()
+    assert {2, 31} <= near and len(got) == len(near) and {r["node"] for r in got} == near
+
+
 def test_highest_places_are_those_of_some_window():
     rng = np.random.default_rng(3)
     sizes = rng.integers(0, 40, 60)
