@@ -91,7 +91,7 @@ def main() -> None:
     timed("fingerprint_fct_orders", lambda: compare.fingerprint(marts["fct_orders"]).collect())
 
     for warm in (context.stored_marts, context.stored_staged, context.stored_live):
-        assert warm  # setup: written inputs of the operator queries
+        assert dict(warm)  # setup: written inputs of the operator queries
     for name in OPERATORS:
         timed(name, lambda n=name: drain(QUERIES[n](spark, FOLDER)))
 

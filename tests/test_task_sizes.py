@@ -7,6 +7,8 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from changes import CUSTOMER, ITEM, ORDER, change, put_changes
 from tidemark import contract
+from tidemark.catalog.context import Context
+from tidemark.catalog.queries import QUERIES
 from tidemark.plans import build
 from tidemark.session import SORTED_BYTES, settings
 from tidemark.sources import capture, maintenance
@@ -83,3 +85,44 @@ def test_refused_and_accepted_rows_are_counted_apart(store, capture_root):
     assert metrics["input_I"] == 2 and metrics["files_committed"] == 1
     (refused,) = store.rejected().collect()
     assert refused["line"] == 2 and refused["reason"] == "source value is too wide"
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    made = {
+        "customer": spark.sql("select id as c_custkey from range(4)"),
+        "events": spark.sql(
+            "select id as event_id, id % 4 as user_id, elt(cast(id % 4 as int) + 1, 'signup', 'view', 'click', 'error') as event_type,"
+            " timestamp'2024-03-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id as int)) as ts from range(20)"
+        ),
+        "orders": spark.sql("select id as o_orderkey, id % 4 as o_custkey, date'2024-01-01' as o_orderdate, 50.0D as o_totalprice from range(12)"),
+        "lineitem": spark.sql(
+            "select id as l_orderkey, 1 as l_linenumber, id as l_partkey, id as l_suppkey, 9.5D as l_extendedprice, 2.0D as l_quantity,"
+            " 'N' as l_returnflag, 'O' as l_linestatus, date'2024-02-01' as l_shipdate from range(12)"
+        ),
+    }
+    for name, df in made.items():
+        df.coalesce(1).write.parquet(str(tmp_path / "tables" / f"{name}.parquet"))
+    return str(tmp_path / "tables")
+
+
+def test_lifecycle_events_store_no_mart_but_the_history(spark, tables, seen):
+    c = Context(spark, tables)
+    rows = {tuple(r) for r in QUERIES["lifecycle_events"](spark, tables).collect()}
+    assert {r[0] for r in rows} == {"status", "city", "deleted"}
+    history = {(r["customer_id"], r["source_order_from"], r["city"], str(r["is_deleted"]).lower()) for r in c.marts["dim_customer_history"].collect()}
+    assert {r[1:] for r in rows if r[0] == "city"} == {(k, n, city) for k, n, city, _ in history}
+    assert {r[1:] for r in rows if r[0] == "deleted"} == {(k, n, gone) for k, n, _, gone in history}
+    stored = sorted(path.rsplit("/", 1)[-1].rsplit("-", 1)[0] for path in seen if "/raw-" in path or "/marts-" in path)
+    assert stored == ["marts-dim_customer_history", "raw-customers"]
+
+
+def test_stored_marts_hold_what_all_marts_hold(spark, tables):
+    c = Context(spark, tables)
+    assert list(c.stored_marts) == list(contract.MARTS) and len(c.stored_raw) == len(contract.TABLES)
+    for mart, whole in c.marts.items():
+        one = c.stored_marts[mart]
+        assert one.columns == whole.columns
+        assert one.exceptAll(whole).isEmpty() and whole.exceptAll(one).isEmpty() and not one.isEmpty()
+    with pytest.raises(KeyError):
+        c.stored_marts["orders"]
