@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from samples import SCHEMA, rows, vectors
 
-from tidemark.llm import byte_pairs, cross_tokens, vector_codes
+from tidemark.llm import byte_pairs, cross_tokens, token_files, vector_codes
 from tidemark.llm.memo import CHUNKS, Memo
 
 ODD = [*"aaabbcde  \n\n\t'.,-129sltrv\r\x0b éßñ中文日本語한ひカ😀▁\xa0　\x1c\x00)};", "'ll", "<|endoftext|>", "<s>", "<0x0A>"]
@@ -261,3 +261,25 @@ def test_vector_codes(spark, folders):
     assert vector_codes.codebooks(vector_codes.kept(found)).shape == (16, 9, 2)
     with pytest.raises(ValueError):
         vector_codes.codebooks(vector_codes.kept(spark.createDataFrame([(1, [0.5] * 17, 1)], "vec_id long, embedding array<float>, label int")))
+
+
+def test_token_files_look_a_new_chunk_up_once(monkeypatch):
+    from tokenizers import Tokenizer
+
+    asked = []
+
+    class Counted(token_files._Numbers):
+        def __getitem__(self, chunk):
+            asked.append(chunk)
+            return super().__getitem__(chunk)
+
+    monkeypatch.setattr(token_files, "_Numbers", Counted)
+    monkeypatch.setattr(token_files, "_CACHE_CHUNKS", 3000)
+    encode, whole = token_files.encoder(token_files.vocabulary()), Tokenizer.from_file(token_files.vocabulary())
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(2000)]
+    assert [len(ids) > 2000 for ids in encode([" ".join(words).encode()])] == [True] and len(asked) == len(words)
+    # More chunks than are kept: what is held grows, starts anew and stays right.
+    texts = [" ".join(words), "don't A.b,,, é... x<|y <|endoftext|> İ", "", " ".join(w + "!?" for w in words), " ".join(words[::-1])]
+    for text in (*texts, *texts):
+        (ids,) = encode([text.encode()])
+        assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, token_files.END_ID]

@@ -68,35 +68,31 @@ def encoder(path: str):
     for token, i in tokenizer.get_vocab().items():
         last[i] = token.endswith("</w>")
     known = _Numbers()
-    # By number: where a chunk's ids begin in ``flat``, and how many they are.
-    flat, starts, sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def library(chunks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Chunks in the order they were encoded in, with sizes and ids; many share one call."""
-        texts = [c.decode() for c in chunks]
-        plain = [c for c, t in zip(chunks, texts) if t.isalpha()]  # one word each, so its last id tells
-        odd = [c for c, t in zip(chunks, texts) if "<|" in t]  # may hold an added token
-        seen = {*plain, *odd}
-        other = [c for c in chunks if c not in seen]  # an added token between them tells
-        order, counts, parts = [], [], []
-        for group, alpha in ((plain, True), (other, False)):
+    # By number: where a chunk's ids begin in ``flat``, and how many they are.  All three grow by doubling.
+    flat, starts, sizes, used = np.zeros(1024, np.int32), np.zeros(1024, np.int64), np.zeros(1024, np.int64), 0
+
+    def library(chunks: list[bytes], numbers: np.ndarray) -> None:
+        """Holds the ids of numbered chunks; many share one call."""
+        texts = b"\n".join(chunks).decode().split("\n")  # chunks hold no line feed
+        alpha = np.fromiter(map(str.isalpha, texts), bool, len(texts))
+        marked = np.fromiter(("<|" in t for t in texts), bool, len(texts))  # may hold an added token
+        plain = np.flatnonzero(alpha)  # one word each, so its last id tells
+        other = np.flatnonzero(~alpha & ~marked)  # an added token between them tells
+        for group, words in ((plain, True), (other, False)):
             for lo in range(0, len(group), 2000):
-                some = group[lo : lo + 2000]
-                if alpha:
-                    ids = np.array(tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, np.int32)
+                at = group[lo : lo + 2000]
+                some = [texts[i] for i in at.tolist()]
+                if words:
+                    ids = np.array(tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int32)
                     found = np.diff(np.flatnonzero(last[ids]), prepend=-1)
-                if not alpha or len(found) != len(some):  # lower case gave one of them another word
-                    ids = np.array(tokenizer.encode(_SPECIAL.encode().join(some).decode(), add_special_tokens=False).ids, np.int32)
+                if not words or len(found) != len(some):  # lower case gave one of them another word
+                    ids = np.array(tokenizer.encode(_SPECIAL.join(some), add_special_tokens=False).ids, np.int32)
                     found = np.diff(np.flatnonzero(ids == mark), prepend=-1, append=len(ids)) - 1
                     ids = ids[ids != mark]
-                order += some
-                counts.append(found)
-                parts.append(ids)
-        for c in odd:
-            ids = np.array(tokenizer.encode(c.decode(), add_special_tokens=False).ids, np.int32)
-            counts.append(np.array([len(ids)]))
-            parts.append(ids)
-        return [*order, *odd], np.concatenate(counts), np.concatenate(parts)
+                hold(numbers[at], found, ids)
+        for i in np.flatnonzero(marked).tolist():
+            ids = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
+            hold(numbers[i : i + 1], np.array([len(ids)]), ids)
 
     def gathered(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of numbered chunks one after another, and how many each has."""
@@ -105,40 +101,46 @@ def encoder(path: str):
         n = int(ends[-1]) if len(ends) else 0
         return flat[np.repeat(starts[at] - (ends - many), many) + np.arange(n)], many
 
-    def hold(numbers: list[int], many: np.ndarray, ids: np.ndarray) -> None:
-        nonlocal flat
-        starts[numbers], sizes[numbers] = len(flat) + np.cumsum(many) - many, many
-        flat = np.concatenate([flat, ids])
+    def hold(numbers: np.ndarray, many: np.ndarray, ids: np.ndarray) -> None:
+        nonlocal flat, used
+        while used + len(ids) > len(flat):
+            flat = np.concatenate([flat, np.zeros_like(flat)])
+        starts[numbers], sizes[numbers] = used + np.cumsum(many) - many, many
+        flat[used : used + len(ids)] = ids
+        used += len(ids)
 
     def learn() -> None:
         """A run of marks after an ASCII letter or digit is a word of its own: such chunks are put together from two."""
         nonlocal starts, sizes
-        single, joint, met = [], [], len(known.new)
-        for c in known.new[:met]:
+        new, met = known.new, len(known.new)
+        first = len(known) - met  # new chunks are numbered on from here
+        single, joint, parts = [], [], []
+        for i in range(met):
+            c = new[i]
             stem = c.rstrip(_MARKS)
-            if len(stem) < len(c) and stem and stem[-1] < 128 and b"<|" not in c:
-                joint.append((known[c], known[stem], known[c[len(stem) :]]))
+            if stem and len(stem) < len(c) and stem[-1] < 128 and b"<|" not in c:
+                joint.append(i)
+                parts.append(known[stem])
+                parts.append(known[c[len(stem) :]])
             else:
-                single.append(c)
-        single += known.new[met:]  # stems and marks met first here
-        known.new.clear()
-        more = len(known) - len(starts)
-        starts, sizes = np.append(starts, np.zeros(more, np.int64)), np.append(sizes, np.zeros(more, np.int64))
+                single.append(i)
+        single += range(met, len(new))  # stems and marks met first here
+        while len(known) > len(starts):
+            starts, sizes = np.append(starts, np.zeros_like(starts)), np.append(sizes, np.zeros_like(sizes))
         if single:
-            order, many, ids = library(single)
-            hold([known[c] for c in order], many, ids)
+            library([new[i] for i in single], first + np.array(single))
         if joint:
-            parts = np.array(joint, np.int64)
-            ids, many = gathered(parts[:, 1:].ravel())
-            hold(parts[:, 0], many.reshape(-1, 2).sum(1), ids)
+            ids, many = gathered(np.array(parts))
+            hold(first + np.array(joint), many.reshape(-1, 2).sum(1), ids)
+        new.clear()
 
     def encode(texts: list[bytes | None]) -> list[np.ndarray]:
-        nonlocal flat, starts, sizes
+        nonlocal used
         # The tokenizer lower-cases; an added token is one only as it is written.
         lists = [((t if b"<|" in t else t.lower()) if t else b"").split() for t in texts]
         if len(known) > _CACHE_CHUNKS:
             known.clear()
-            flat, starts, sizes = flat[:0], starts[:0], sizes[:0]
+            used = 0
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         at = np.fromiter(map(known.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum()))
         if known.new:
