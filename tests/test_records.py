@@ -8,6 +8,7 @@ import random
 import pytest
 
 from changes import put
+from tidemark.session import settings
 from tidemark.sources import records
 
 
@@ -86,6 +87,19 @@ def test_broken_text_is_flagged(spark, tmp_path):
     assert [(r["line"], r["bad_text"]) for r in sorted(rows, key=lambda r: r["line"])] == [(1, False), (2, True)]
 
 
+def test_records_cut_by_splits_write_their_pieces_alone(spark, tmp_path, monkeypatch):
+    lines = "".join(f'{n},"one\ntwo"\n' if n % 100 == 50 else f"{n},plain\n" for n in range(5000))
+    path, kept_in = put(tmp_path, "cut.csv", lines), tmp_path / "kept"
+    monkeypatch.setattr(records, "work_folder", lambda spark, purpose: str(kept_in / purpose))
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0"}):
+        got = found(records.read_split_records(spark, [path]))["cut.csv"]
+    assert len(got) == 5000 and set(got) == expected(path)
+    kept = {p.name: spark.read.parquet(str(p)) for p in kept_in.iterdir()}
+    assert set(kept) == {"splits", "pieces"}  # no folder holds the text of the whole file
+    assert kept["pieces"].filter("piece is null").isEmpty()
+    assert 0 < kept["pieces"].count() <= 2 * 50
+
+
 def test_tiny_splits_share_tasks(spark, tmp_path):
     paths = make(tmp_path, seed=3)
     files = [(p, os.path.getsize(p)) for p in paths]

@@ -8,6 +8,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 from changes import CUSTOMER, ITEM, ORDER, change, put_changes
 from tidemark import contract
 from tidemark.catalog.context import Context
+from tidemark.catalog import queries
 from tidemark.catalog.queries import QUERIES
 from tidemark.plans import build
 from tidemark.session import SORTED_BYTES, settings
@@ -51,6 +52,23 @@ def test_judgement_of_events_is_short_enough_to_compile(spark, capture_root, cap
     assert sizes and max(sizes) < 8000  # the JVM leaves longer methods to its interpreter
 
 
+def test_split_query_finds_captures_written_with_usual_splits(spark, monkeypatch):
+    at = []
+
+    class Asked:
+        def __init__(self):
+            self.spark = spark
+
+        @property
+        def captures(self):
+            at.append(spark.conf.get(SPLIT))
+
+    monkeypatch.setattr(queries, "_captured_split", lambda c, *_: (c.captures, at.append(spark.conf.get(SPLIT))))
+    before = spark.conf.get(SPLIT)
+    queries.captured_customers_split(Asked())
+    assert at[0] == before and at[-1] == str(1 << 14)
+
+
 def test_landing_writes_tables_side_by_side(spark, store, capture_root, seen):
     landed(store, capture_root)
     (raw,) = of(seen, "/raw/")
