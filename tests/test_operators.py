@@ -176,6 +176,18 @@ def test_plain_history_takes_one_shuffle_and_one_sort(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1
 
 
+def test_row_checksums_tell_types_places_and_copies_apart_without_texts(spark):
+    amounts, cents = spark.sql("select cast(1 as decimal(10,2)) as n"), spark.sql("select 100L as n")
+    assert tuple(compare.same_content(amounts, cents).first()) == (1, 1, False)
+    assert compare.same_content(spark.sql("select 1 as n"), spark.sql("select 1L as n")).first()["equal"]
+    texts = [spark.createDataFrame([row], "a string, b string") for row in (("ab", "c"), ("a", "bc"), ("c", "ab"), ("ab", None), (None, "ab"))]
+    for n, left in enumerate(texts):
+        assert [compare.same_content(left, right).first()["equal"] for right in texts] == [n == m for m in range(len(texts))]
+    once, twice = texts[0], texts[0].unionAll(texts[0])
+    assert tuple(compare.same_content(once, twice).first()) == (0, 1, False)
+    assert "md5" not in plan_of(compare.same_content(once, twice)).lower()
+
+
 def test_same_content_counts_copies_and_nulls(spark):
     left = spark.createDataFrame([("a", None), ("a", None), ("b", "")], "k string, v string")
     right = spark.createDataFrame([("a", None), ("b", None)], "k string, v string")
