@@ -57,6 +57,41 @@ def test_naive_instants_are_utc_in_any_session(spark, zone):
         value(spark, casts.source_instant, "invalid-date")
 
 
+SPELLINGS = [
+    None, "", " ", "1", "-1", "+1", "1.", ".5", "1.5", "1.50", "1.500", "1.505", " 1.50", "1.50\n", "1e2", "-0.00", "999999999999.99",
+    "1000000000000", "000000000000.10", "0000000000001.10", "--1", "1,5", "2024-01-02", "2024-1-2", "2024-01-02 03:04:05", "2024-01-02 03:04:05\n",
+    "2024-01-02 03:04:05 ", " 2024-01-02 03:04:05", "2024-01-02 03:04:05Z", "2024-01-02 03:04:05z", "2024-01-02T03:04:05", "2024-01-02T03:04:05Z",
+    "2024-01-02 03:04:05.25", "2024-01-02 03:04:05+02", "2024-01-02 03:04:05+02:00", "2024-13-02 03:04:05", "2024-02-30 03:04:05Z",
+    "2024-01-02 25:04:05", "2024-01-02 03:04", "03:04:05", "12024-01-02 03:04:05", "2024-01-02 03:04:05ZZ", "٢024-01-02 03:04:05",
+]
+
+
+def test_usual_spellings_obey_the_long_rules(spark):
+    v = F.col("v")
+    df = spark.createDataFrame([(text,) for text in SPELLINGS], "v string")
+    narrow = v.try_cast("decimal(14,2)")
+    money = F.when(v.try_cast("decimal(38,18)") == narrow, narrow)
+    naive = F.when(v.rlike(casts.LEADING_DATE) & ~v.rlike(casts.ZONE_SUFFIX), v.try_cast("timestamp_ntz"))
+    utc = F.concat(F.rtrim(v), F.when(v.rlike(casts.HAS_CLOCK), F.lit("Z")).otherwise(F.lit(" 00:00:00Z")))
+    instant = F.when(v.rlike(casts.LEADING_DATE), F.when(v.rlike(casts.ZONE_SUFFIX), v).otherwise(utc)).try_cast("timestamp")
+    for rule, bad, typed in (
+        (money, casts.bad_money, casts.source_money),
+        (naive, casts.bad_timestamp, casts.source_timestamp),
+        (instant, casts.bad_instant, casts.source_instant),
+    ):
+        told = df.select("v", (bad(v) == (v.isNotNull() & rule.isNull())).alias("told"), bad(v).alias("bad"))
+        assert [r["v"] for r in told.collect() if not r["told"]] == []
+        rows = df.filter(~bad(v)).select("v", typed(v).eqNullSafe(rule).alias("same")).collect()
+        assert len(rows) > 3 and [r["v"] for r in rows if not r["same"]] == []
+
+
+def test_a_value_is_cast_once(spark):
+    df = spark.createDataFrame([("2024-01-02 03:04:05",)], "v string")
+    for typed in (casts.source_timestamp, casts.source_instant, casts.source_integer):
+        plan = df.select(typed(F.col("v")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("try_cast(") == 1
+
+
 def test_bad_values_fail_only_when_their_column_is_read(spark):
     df = spark.createDataFrame([("k", "0.001")], "payment_key string, payment_value string")
     typed = df.select("payment_key", casts.staged("payment_value"))
